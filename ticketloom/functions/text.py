@@ -127,12 +127,16 @@ def row_digest(columns: Sequence[str], schema) -> Column:
     return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
+def _hits(tokens: Column, words: Sequence[str]) -> Column:
+    return F.size(F.filter(tokens, lambda t: t.isin(list(words))))
+
+
 def guess_language(text: Column) -> Column:
     """The language with most function-word hits, ties by code; ``unknown`` with no hit or no text."""
     tokens = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1))
     votes = F.array(
         *[
-            F.struct(F.size(F.filter(tokens, lambda t, w=words: t.isin(w))).alias("hits"), F.lit(rank).alias("order"), F.lit(lang).alias("lang"))
+            F.struct(_hits(tokens, words).alias("hits"), F.lit(rank).alias("order"), F.lit(lang).alias("lang"))
             for rank, (lang, words) in enumerate(sorted(LANGUAGE_WORDS.items(), reverse=True))
         ]
     )

@@ -17,21 +17,22 @@ def order_key(id_col: str, seed: int = DEFAULTS.seed) -> Column:
     return F.md5(F.concat_ws(":", F.col(id_col).cast("string"), F.lit(str(seed))))
 
 
-def _share_out(counts: DataFrame, label_col: str, size_col: str, quota: Column, out: str) -> DataFrame:
+def _share_out(counts: DataFrame, size_col: str, quota: str, out: str) -> DataFrame:
     """Largest-remainder shares of ``quota`` rows over the labels, ties by label.
 
-    ``counts`` has one row per label, so the unpartitioned windows see only the label list.
+    ``counts`` has one row per label in column ``_label``, so the unpartitioned windows see only
+    the label list.  ``quota`` may use ``total``, the sum of the sizes.
     """
-    everything = Window.partitionBy()
-    exact = F.col("_quota") * F.col(size_col) / F.sum(size_col).over(everything)
+    own = counts.columns
     return (
-        counts.withColumn("_quota", quota)
-        .withColumn("_base", F.floor(exact))
-        .withColumn("_rest", F.round(exact - F.col("_base"), 9))
-        .withColumn("_place", F.row_number().over(everything.orderBy(F.desc("_rest"), F.asc(label_col))))
-        .withColumn("_left", F.col("_quota") - F.sum("_base").over(everything))
-        .withColumn(out, F.col("_base") + F.when(F.col("_place") <= F.col("_left"), 1).otherwise(0))
-        .drop("_quota", "_base", "_rest", "_place", "_left")
+        counts.selectExpr(*own, f"sum({size_col}) OVER () AS total")
+        .selectExpr(*own, "total", f"CAST({quota} AS BIGINT) AS quota")
+        .selectExpr(*own, "quota", f"quota * {size_col} / total AS exact")
+        .selectExpr(*own, "quota", "floor(exact) AS base", "round(exact - floor(exact), 9) AS rest")
+        .selectExpr(
+            *own, "base", "quota - sum(base) OVER () AS spare", "row_number() OVER (ORDER BY rest DESC, _label) AS place"
+        )
+        .selectExpr(*own, f"base + CASE WHEN place <= spare THEN 1 ELSE 0 END AS {out}")
     )
 
 
@@ -40,16 +41,11 @@ def split_sizes(
 ) -> DataFrame:
     """Rows of each label that go to train, val and test; totals are ceil(share x rows) held out,
     then halved with the odd row going to test."""
-    total = F.sum("n").over(Window.partitionBy())
-    n_train = total - F.ceil(F.round(total * held_out, 9))
-    counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
-    sized = _share_out(counts, label_col, "n", n_train, "n_train").withColumn("_rest_n", F.col("n") - F.col("n_train"))
-    held = F.sum("_rest_n").over(Window.partitionBy())
-    n_val = held - F.ceil(F.round(held * test_of_held, 9))
-    return (
-        _share_out(sized, label_col, "_rest_n", n_val, "n_val")
-        .withColumn("n_test", F.col("_rest_n") - F.col("n_val"))
-        .drop("_rest_n")
+    counts = df.groupBy(F.col(label_col).alias("_label")).agg(F.count(F.lit(1)).alias("n"))
+    train = _share_out(counts, "n", f"total - ceil(round(total * {held_out}D, 9))", "n_train")
+    rest = train.selectExpr("*", "n - n_train AS n_held")
+    return _share_out(rest, "n_held", f"total - ceil(round(total * {test_of_held}D, 9))", "n_val").selectExpr(
+        f"_label AS `{label_col}`", "n", "n_train", "n_val", "n_held - n_val AS n_test"
     )
 
 
@@ -140,13 +136,12 @@ def stratified_sample(
     The rank filter has the literal bound ``n``, so every task keeps at most n rows of a label
     before anything is shuffled.
     """
-    counts = df.where(F.col(label_col).isNotNull()).groupBy(label_col).agg(F.count(F.lit(1)).alias("_size"))
-    total = F.sum("_size").over(Window.partitionBy())
-    quotas = _share_out(counts, label_col, "_size", F.least(F.lit(n), total), "_take").select(label_col, "_take")
+    labelled = df.where(F.col(label_col).isNotNull())
+    counts = labelled.groupBy(F.col(label_col).alias("_label")).agg(F.count(F.lit(1)).alias("n"))
+    quotas = _share_out(counts, "n", f"least({n}, total)", "_take").select(F.col("_label").alias(label_col), "_take")
     order = Window.partitionBy(label_col).orderBy("_key", id_col)
     picked = (
-        df.where(F.col(label_col).isNotNull())
-        .withColumn("_key", order_key(id_col, seed))
+        labelled.withColumn("_key", order_key(id_col, seed))
         .withColumn("_rn", F.row_number().over(order))
         .where(F.col("_rn") <= n)
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ticketloom.plans import retrieval_queries  # noqa: F401
+from ticketloom.plans import corpus_queries, profile_queries, retrieval_queries  # noqa: F401
 from ticketloom.plans.registry import ORACLES, QUERIES
 
 

@@ -39,6 +39,8 @@ def write_csv(df: DataFrame, path: str) -> None:
         .option("quote", '"')
         .option("escape", '"')
         .option("quoteAll", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("emptyValue", "")
         .csv(path)
     )
