@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketloom.functions.text import metric_key
+
 RETRIEVAL_CUTS = (1, 3, 5, 10)
 
 
@@ -14,22 +16,24 @@ def _ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, num / den).otherwise(F.lit(0.0))
 
 
-def pair_counts(df: DataFrame, truth: str, predicted: str) -> DataFrame:
-    return df.groupBy(F.col(truth).alias("truth"), F.col(predicted).alias("predicted")).agg(F.count(F.lit(1)).alias("n"))
+def pair_counts(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
+    return df.groupBy(*by, F.col(truth).alias("truth"), F.col(predicted).alias("predicted")).agg(
+        F.count(F.lit(1)).alias("n")
+    )
 
 
-def per_class_counts(df: DataFrame, truth: str, predicted: str) -> DataFrame:
+def per_class_counts(df: DataFrame, truth: str, predicted: str, by: Sequence[str] = ()) -> DataFrame:
     """label, tp, predicted, support for every label on either side."""
-    hit = F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(0)
-    sides = F.array(
-        F.struct(F.col("truth").alias("label"), hit.alias("tp"), F.lit(0).cast("long").alias("predicted"), F.col("n").alias("support")),
-        F.struct(F.col("predicted").alias("label"), F.lit(0).cast("long").alias("tp"), F.col("n").alias("predicted"), F.lit(0).cast("long").alias("support")),
+    none = F.lit(0).cast("long")
+    hit = F.when(F.col("truth") == F.col("predicted"), F.col("n")).otherwise(none)
+    side = lambda label, tp, predicted, support: F.struct(
+        F.col(label).alias("label"), tp.alias("tp"), predicted.alias("predicted"), support.alias("support")
     )
+    sides = F.array(side("truth", hit, none, F.col("n")), side("predicted", none, F.col("n"), none))
     return (
-        pair_counts(df, truth, predicted)
-        .select(F.explode(sides).alias("s"))
-        .select("s.*")
-        .groupBy("label")
+        pair_counts(df, truth, predicted, by)
+        .select(*by, F.inline(sides))
+        .groupBy(*by, "label")
         .agg(F.sum("tp").alias("tp"), F.sum("predicted").alias("predicted"), F.sum("support").alias("support"))
     )
 
@@ -68,9 +72,11 @@ def scores_from_counts(counts: DataFrame, digits: int = 4, by: Sequence[str] = (
     )
 
 
-def weighted_scores(df: DataFrame, truth: str = "queue", predicted: str = "predicted_queue", digits: int = 4) -> DataFrame:
-    """One row: accuracy and support-weighted precision, recall, F1."""
-    return scores_from_counts(per_class_counts(df, truth, predicted), digits)
+def weighted_scores(
+    df: DataFrame, truth: str = "queue", predicted: str = "predicted_queue", digits: int = 4, by: Sequence[str] = ()
+) -> DataFrame:
+    """Accuracy and support-weighted precision, recall, F1; one row, or one per ``by`` group."""
+    return scores_from_counts(per_class_counts(df, truth, predicted, by), digits, by)
 
 
 def classification_report(df: DataFrame, truth: str = "queue", predicted: str = "predicted_queue", digits: int = 4) -> DataFrame:
@@ -154,11 +160,31 @@ def retrieval_per_class(matches: DataFrame, k: int = 5, label_col: str = "queue"
     )
 
 
+def label_list(df: DataFrame, label_col: str = "queue", limit: int = 10_000) -> list[str]:
+    """Sorted distinct labels; more than ``limit`` of them is no label set."""
+    rows = df.where(F.col(label_col).isNotNull()).select(label_col).distinct().limit(limit + 1).collect()
+    if len(rows) > limit:
+        raise ValueError(f"{label_col} has more than {limit} values")
+    return sorted(r[0] for r in rows)
+
+
 def metric_rows(scores: DataFrame, names: Sequence[str] = ("accuracy", "precision", "recall", "f1"), keep: Sequence[str] = ()) -> DataFrame:
     """Wide metric row(s) to long: metric, value."""
     return scores.unpivot(list(keep), list(names), "metric", "value")
 
 
+def run_log(
+    scores: DataFrame, run_col: str, params: dict[str, Column], names: Sequence[str] = ("accuracy", "precision", "recall", "f1"), digits: int = 4
+) -> DataFrame:
+    """run, kind, key, value: parameters and metrics of each run as flat text records."""
+    entries = [F.struct(F.lit("param").alias("kind"), F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in params.items()]
+    entries += [
+        F.struct(F.lit("metric").alias("kind"), metric_key(F.lit(n)).alias("key"), F.format_string(f"%.{digits}f", F.col(n)).alias("value"))
+        for n in names
+    ]
+    return scores.select(F.col(run_col).alias("run"), F.inline(F.array(*entries)))
+
+
 def metric_delta(base: DataFrame, other: DataFrame, digits: int = 4) -> DataFrame:
     """Two long metric tables side by side with absolute and relative difference (percent)."""
     return (

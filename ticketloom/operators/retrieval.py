@@ -268,6 +268,26 @@ def majority_vote(
     )
 
 
+def vote_grid(
+    queries: DataFrame, neighbors: DataFrame, ks: Sequence[int], id_col: str = "ticket_id", label_col: str = "neighbor_queue"
+) -> DataFrame:
+    """Majority votes for several k from one neighbour table: id, k, predicted_queue."""
+    sizes = F.array(*[F.lit(k) for k in ks])
+    votes = (
+        neighbors.where(F.col(label_col).isNotNull())
+        .select("query_id", label_col, "rank", F.explode(F.filter(sizes, lambda k: k >= F.col("rank"))).alias("k"))
+        .groupBy("query_id", "k", label_col)
+        .agg(F.count(F.lit(1)).alias("votes"), F.min("rank").alias("best_rank"))
+        .groupBy("query_id", "k")
+        .agg(F.max_by(label_col, F.struct("votes", -F.col("best_rank"))).alias("_label"))
+        .withColumnRenamed("query_id", id_col)
+    )
+    asked = queries.select(id_col, F.explode(sizes).alias("k"))
+    return asked.join(votes, [id_col, "k"], "left").select(
+        id_col, "k", F.coalesce(F.col("_label").cast("string"), F.lit("Unknown")).alias("predicted_queue")
+    )
+
+
 def top1_label(queries: DataFrame, neighbors: DataFrame, id_col: str = "ticket_id", label_col: str = "neighbor_queue") -> DataFrame:
     first = neighbors.where(F.col("rank") == 1).select(F.col("query_id").alias(id_col), F.col(label_col).alias("_label"))
     return queries.select(id_col).join(first, id_col, "left").select(

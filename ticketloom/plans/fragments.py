@@ -100,3 +100,23 @@ WEIGHTED = """round(sum(tp) / sum(support), 4) AS accuracy, round(sum(support *
 VECTOR_NEIGHBORS = VECTORS + ",\n" + split("v_vec") + ",\n" + neighbors("parts")
 VECTOR_VOTES = VECTOR_NEIGHBORS + ",\n" + vote("parts", DEFAULTS.top_k)
 STOP_LIST = ", ".join(f"'{w}'" for w in DOMAIN_STOP_WORDS)
+
+
+def hashed(source: str, dim: int = DEFAULTS.embedding_dim) -> str:
+    """CTEs ``source``_cells (ticket_id, place, x) and ``source``_emb (ticket_id, embedding)."""
+    s = source
+    return f"""{s}_tf AS (SELECT ticket_id, term, count(*) AS tf FROM (SELECT ticket_id, unnest(regexp_extract_all({clean('body')}, '[a-z0-9]{{2,}}')) AS term FROM {s}) t GROUP BY ALL),
+{s}_x AS (SELECT ticket_id, CAST('0x' || substring(h, 1, 8) AS BIGINT) % {dim} AS place, sum(CASE WHEN substring(h, 9, 1) >= '8' THEN 1.0 ELSE -1.0 END * (1 + ln(tf))) AS x
+  FROM (SELECT *, md5(term) AS h FROM {s}_tf) t GROUP BY 1, 2),
+{s}_l AS (SELECT ticket_id, sqrt(sum(x * x)) AS len FROM {s}_x GROUP BY 1),
+{s}_cells AS (SELECT d.ticket_id, g.place, CAST(CASE WHEN l.len > 0 THEN coalesce(x.x, 0) / l.len ELSE 0 END AS FLOAT) AS x
+  FROM {s} d CROSS JOIN (SELECT unnest(range({dim})) AS place) g LEFT JOIN {s}_x x ON x.ticket_id = d.ticket_id AND x.place = g.place LEFT JOIN {s}_l l ON l.ticket_id = d.ticket_id),
+{s}_emb AS (SELECT ticket_id, list(x ORDER BY place) AS embedding FROM {s}_cells GROUP BY ticket_id)"""
+
+
+# Cases with vectors and split, and the five nearest train cases of every test case.
+CASE_NEIGHBORS = (
+    CASES + ",\n" + hashed("v_cases") + """,
+case_vec AS (SELECT c.*, e.embedding FROM v_cases c JOIN v_cases_emb e ON e.ticket_id = c.ticket_id),
+""" + split("case_vec") + ",\n" + neighbors("parts", DEFAULTS.top_k)
+)
