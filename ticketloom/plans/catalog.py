@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ticketloom.plans import corpus_queries, feature_queries, profile_queries, retrieval_queries, triage_queries  # noqa: F401
+from ticketloom.plans import corpus_queries, feature_queries, model_queries, profile_queries, retrieval_queries, stream_queries, triage_queries  # noqa: F401
 from ticketloom.plans.registry import ORACLES, QUERIES
 
 
