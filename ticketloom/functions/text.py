@@ -51,8 +51,13 @@ def _nfkc(texts: pd.Series) -> pd.Series:
 
 
 def nfkc(text: Column) -> Column:
-    """NFKC form.  Only texts holding a code point that could change are sent to Python."""
-    unstable = F.when(text.rlike(f"[^{NFKC_STABLE}]"), text)
+    """NFKC form.  Only texts holding a code point that could change are sent to Python.
+
+    Equal byte and character counts settle plain ASCII; the class of stable code points is tried
+    only behind a character outside ASCII.
+    """
+    suspect = text.rlike(rf"[^\x00-\x7f](?<![{NFKC_STABLE}])")
+    unstable = F.when(F.octet_length(text) != F.length(text), F.when(suspect, text))
     return F.coalesce(_nfkc(unstable), text)
 
 

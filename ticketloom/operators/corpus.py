@@ -19,8 +19,13 @@ def filter_language(df: DataFrame, language: str = DEFAULTS.language) -> DataFra
 
 
 def add_clean_columns(df: DataFrame, strip_html: bool = False) -> DataFrame:
-    wanted = {f"clean_{c}": X.clean_text(F.col(c), strip_html) for c in ("body", "answer") if c in df.columns}
-    return df.withColumns(wanted)
+    """clean_body, and clean_answer where there is an answer.
+
+    The columns leave through a one-row generator: Catalyst would otherwise copy the cleaning
+    expression into every filter on its result and run it once per use.
+    """
+    cleaned = [X.clean_text(F.col(c), strip_html).alias(f"clean_{c}") for c in ("body", "answer") if c in df.columns]
+    return df.select("*", F.inline(F.array(F.struct(*cleaned))))
 
 
 def filter_body_length(

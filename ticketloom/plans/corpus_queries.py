@@ -11,7 +11,7 @@ from ticketloom.plans import fragments as Q
 from ticketloom.plans.registry import query
 from ticketloom.sources import tables as IO
 from ticketloom.sources import views
-from ticketloom.scale import scratch_path, spread
+from ticketloom.scale import materialize, scratch_path, spread
 
 
 def cleaned(spark, sf):
@@ -19,6 +19,11 @@ def cleaned(spark, sf):
     return C.filter_body_length(C.add_clean_columns(C.filter_language(views.tickets(spark, sf))))
 
 
+def stored_corpus(spark, sf):
+    """The cleaned corpus as a written table, for jobs that read it more than once."""
+    return materialize(cleaned(spark, sf).select("ticket_id", "queue", "clean_body"), "corpus")
+
+
 @query("clean_corpus", f"WITH {Q.CLEANED} SELECT ticket_id, body, queue, clean_body, length(body) AS body_length FROM v_clean")
 def clean_corpus(spark, sf):
     return C.clean_corpus(views.tickets(spark, sf))
@@ -203,7 +208,7 @@ lemmatized AS (SELECT v.ticket_id, v.queue, v.clean_body, coalesce(l.body, '') A
 
 
 def lemmatized(spark, sf):
-    tickets = cleaned(spark, sf)
+    tickets = stored_corpus(spark, sf)
     lemmas = C.suffix_lemmas(tickets)
     return C.map_distinct(tickets, "clean_body", "lemmatized_body", lambda texts: C.lemmatize(texts, lemmas))
 

@@ -8,7 +8,7 @@ from ticketloom.operators import features as E
 from ticketloom.operators import split as S
 from ticketloom.operators.corpus import add_clean_columns
 from ticketloom.plans import fragments as Q
-from ticketloom.plans.corpus_queries import cleaned
+from ticketloom.plans.corpus_queries import stored_corpus
 from ticketloom.plans.registry import query
 from ticketloom.settings import DEFAULTS
 from ticketloom.sources import views
@@ -27,7 +27,7 @@ w AS (SELECT ticket_id, split, term, idx, w / sqrt(sum(w * w) OVER (PARTITION BY
 
 
 def split_corpus(spark, sf):
-    return S.stratified_split(cleaned(spark, sf))
+    return S.stratified_split(stored_corpus(spark, sf))
 
 
 def fitted(spark, sf, max_features=DEFAULTS.max_features):

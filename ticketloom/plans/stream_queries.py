@@ -47,10 +47,10 @@ def stream_append(spark, sf):
 
     parts = materialize(stratified_split(views.cases(spark, sf)).select("ticket_id", "queue", "split"), "append-parts")
     home = scratch_path(spark, "stream-append")
+    jobs.corpus_base(parts.where("split = 'train'"), f"{home}/corpus")
     parts.where("split = 'val'").write.parquet(f"{home}/in")
-    schema = parts.schema
-    _drain(jobs.append_stream(jobs.ticket_stream(spark, f"{home}/in", schema), f"{home}/arrived", f"{home}/state"))
-    return parts.where("split = 'train'").unionByName(spark.read.schema(schema).parquet(f"{home}/arrived"))
+    _drain(jobs.append_stream(jobs.ticket_stream(spark, f"{home}/in", parts.schema), f"{home}/corpus", f"{home}/state"))
+    return spark.read.parquet(f"{home}/corpus").select("ticket_id", "queue", "split")
 
 
 @query(

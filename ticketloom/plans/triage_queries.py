@@ -14,13 +14,14 @@ from ticketloom.operators import split as S
 from ticketloom.operators import triage as T
 from ticketloom.plans import fragments as Q
 from ticketloom.plans.registry import query
+from ticketloom.scale import materialize
 from ticketloom.settings import DEFAULTS
 from ticketloom.sources import views
 
 
 def split_cases(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Encoded test and train cases."""
-    parts = S.stratified_split(T.encode_tickets(views.cases(spark, sf)))
+    """Encoded test and train cases, from one written table: search, payload and prompt all read it."""
+    parts = materialize(T.encode_tickets(S.stratified_split(views.cases(spark, sf))), "cases")
     return parts.where(F.col("split") == "test").drop("split"), parts.where(F.col("split") == "train")
 
 

@@ -51,16 +51,23 @@ def triage_stream(
     )
 
 
+def corpus_base(corpus: DataFrame, corpus_path: str) -> None:
+    """Lay down the corpus folder that :func:`append_stream` adds to."""
+    corpus.write.mode("overwrite").parquet(f"{corpus_path}/batch_id=-1")
+
+
 def append_stream(tickets: DataFrame, corpus_path: str, checkpoint: str) -> StreamingQuery:
-    """Solved tickets join the corpus; the next search sees them, nothing is retrained."""
-    return (
-        tickets.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", corpus_path)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Solved tickets join the corpus folder; the next search sees them, nothing is retrained."""
+    return _per_batch(tickets.writeStream.outputMode("append"), corpus_path, checkpoint)
+
+
+def _per_batch(writer, out: str, checkpoint: str) -> StreamingQuery:
+    """Each batch owns the folder of its id, so one that runs twice leaves one copy."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    return writer.foreachBatch(handle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def review_rate(
@@ -79,18 +86,8 @@ def review_rate(
 
 
 def update_stream(result: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Write what changed in each batch under the batch's own folder."""
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    return (
-        result.writeStream.outputMode("update")
-        .foreachBatch(handle)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    """Write what changed in each batch."""
+    return _per_batch(result.writeStream.outputMode("update"), out, checkpoint)
 
 
 def latest_updates(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
