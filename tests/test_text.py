@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketloom.functions import text as X
+from ticketloom.operators.quality import detect_language
 
 CASES = [
     (None, None),
@@ -17,6 +18,8 @@ CASES = [
     ("é", ""),
     ("x y@z.w", "x"),
     ("<b>Hi</b>", "b hi b"),
+    ("a\u00a0b", "a b"),
+    ("see www.x\u2003y", "see y"),
     ("  many   spaces \n\t here ", "many spaces here"),
 ]
 
@@ -52,7 +55,7 @@ def test_keep_terms_drops_stops_and_short(spark):
 
 def test_guess_language(spark):
     df = spark.createDataFrame([("the cat and the dog",), ("der Hund und die Katze",), ("zzz",), (None,)], "t string")
-    assert [r[0] for r in df.select(X.guess_language(F.col("t"))).collect()] == ["en", "de", "unknown", "unknown"]
+    assert [r["detected"] for r in detect_language(df, "t").collect()] == ["en", "de", "unknown", "unknown"]
 
 
 def test_metric_key(spark):

@@ -132,21 +132,25 @@ def row_digest(columns: Sequence[str], schema) -> Column:
     return F.unhex(F.sha2(F.concat(*parts), 256))
 
 
-def _hits(tokens: Column, words: Sequence[str]) -> Column:
-    return F.size(F.filter(tokens, lambda t: t.isin(list(words))))
-
-
-def guess_language(text: Column) -> Column:
-    """The language with most function-word hits, ties by code; ``unknown`` with no hit or no text."""
-    tokens = F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1))
-    votes = F.array(
-        *[
-            F.struct(_hits(tokens, words).alias("hits"), F.lit(rank).alias("order"), F.lit(lang).alias("lang"))
-            for rank, (lang, words) in enumerate(sorted(LANGUAGE_WORDS.items(), reverse=True))
-        ]
-    )
-    best = F.array_max(votes)
-    return F.when(text.isNull() | (best["hits"] <= 0), F.lit("unknown")).otherwise(best["lang"])
+def language_words(text: Column) -> Column:
+    """The function words of any listed language in the text, in order."""
+    known = sorted({w for words in LANGUAGE_WORDS.values() for w in words})
+    return F.filter(F.regexp_extract_all(F.lower(text), F.lit(r"(\p{L}+)"), F.lit(1)), lambda t: t.isin(known))
+
+
+def likeliest_language(words: Column) -> Column:
+    """The language with most hits among ``language_words``, ties by code; ``unknown`` without any."""
+
+    def hits(listed: Sequence[str]) -> Column:
+        return F.size(F.filter(words, lambda t: t.isin(list(listed))))
+
+    votes = [
+        F.struct(hits(listed).alias("hits"), F.lit(rank).alias("order"), F.lit(lang).alias("lang"))
+        for rank, (lang, listed) in enumerate(sorted(LANGUAGE_WORDS.items(), reverse=True))
+    ]
+    # size() of a missing text is -1 or null, so only a positive count names a language.
+    nothing = F.struct(F.lit(0).alias("hits"), F.lit(len(votes)).alias("order"), F.lit("unknown").alias("lang"))
+    return F.array_max(F.array(*votes, nothing))["lang"]
 
 
 def metric_key(name: Column) -> Column:

@@ -90,7 +90,7 @@ def lemmatize(
     )
     lemma = F.coalesce("lemma", "token")
     kept = (
-        tokens.join(bounded_broadcast(lemmas.select("token", "lemma"), 500_000), "token", "left")
+        tokens.join(bounded_broadcast(lemmas.select("token", "lemma"), 200_000), "token", "left")
         .where(~lemma.isin(list(stop_words)))
         .groupBy(key)
         .agg(F.array_sort(F.collect_list(F.struct("pos", lemma.alias("lemma")))).alias("found"))

@@ -124,27 +124,38 @@ def repeated_answers(df: DataFrame, n: int = 3, column: str = "clean_answer") ->
 def token_overflow(df: DataFrame, tokens=None, limit: int = DEFAULTS.token_limit, warn_above: float = 0.10) -> DataFrame:
     """Share of texts longer than the encoder reads; ``tokens`` is the token-count column."""
     count = X.token_count(F.col("clean_body")) if tokens is None else tokens
-    over = count > limit
-    return df.agg(
+    return df.select((count > limit).cast("int").alias("over")).agg(
         F.count(F.lit(1)).alias("texts"),
-        F.count_if(over).alias("over_limit"),
-        F.round(F.avg(over.cast("int")), 4).alias("over_share"),
-        (F.avg(over.cast("int")) > warn_above).alias("notable"),
+        F.coalesce(F.sum("over"), F.lit(0)).alias("over_limit"),
+        F.round(F.avg("over"), 4).alias("over_share"),
+        (F.avg("over") > warn_above).alias("notable"),
     )
 
 
+def detect_language(df: DataFrame, text_col: str = "body", out_col: str = "detected") -> DataFrame:
+    """Adds the guessed language.
+
+    The words are picked out once per text and leave through a one-row generator, as the four
+    counts would otherwise each scan the text again.
+    """
+    words = df.select("*", F.inline(F.array(F.struct(X.language_words(F.col(text_col)).alias("_words")))))
+    return words.withColumn(out_col, X.likeliest_language(F.col("_words"))).drop("_words")
+
+
 def language_agreement(df: DataFrame, text_col: str = "body", label_col: str = "language") -> DataFrame:
     """How often the guessed language is the stated one.  A sample is a matter for the caller."""
-    agree = F.coalesce((X.guess_language(F.col(text_col)) == F.col(label_col)).cast("int"), F.lit(0))
-    return df.agg(
+    agree = F.when(F.col("detected") == F.col(label_col), 1).otherwise(0)
+    return detect_language(df.select(text_col, label_col), text_col).select(agree.alias("agree")).agg(
         F.count(F.lit(1)).alias("texts"),
-        F.sum(agree).alias("agreeing"),
-        F.round(F.avg(agree), 4).alias("agreement"),
+        F.sum("agree").alias("agreeing"),
+        F.round(F.avg("agree"), 4).alias("agreement"),
     )
 
 
 def language_mismatches(df: DataFrame, text_col: str = "body", label_col: str = "language", id_col: str = "ticket_id") -> DataFrame:
-    guessed = df.select(id_col, label_col, X.guess_language(F.col(text_col)).alias("detected"))
+    guessed = detect_language(df.select(id_col, text_col, label_col), text_col).select(
+        id_col, label_col, F.inline(F.array(F.struct("detected")))
+    )
     return guessed.where(~F.col("detected").eqNullSafe(F.col(label_col)))
 
 

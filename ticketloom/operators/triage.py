@@ -17,6 +17,8 @@ from ticketloom.settings import DEFAULTS, JobSettings
 # A generator turns the gated table, whose ``prompt`` is null where the ticket abstains, into the
 # raw reply column.
 Generator = Callable[[DataFrame], Column]
+# Tickets whose neighbour lists are small enough to broadcast.
+FEW_TICKETS = 50_000
 PAYLOAD = ("subject", "body", "answer", "queue")
 
 
@@ -51,9 +53,12 @@ def model_generator(load: Callable[[], Callable[[list[str]], list[str]]]) -> Gen
 
 def retrieve(tickets: DataFrame, corpus: DataFrame, k: int = DEFAULTS.top_k, id_col: str = "ticket_id") -> DataFrame:
     """Tickets with ``retrieved``: an empty array where the corpus offers nothing."""
-    found = retrieval.attach_payload(
-        retrieval.nearest(tickets, corpus, k, id_col, corpus_extra=()), corpus, PAYLOAD, id_col
-    )
+    found = retrieval.nearest(tickets, corpus, k, id_col, corpus_extra=())
+    if tickets.select(id_col).limit(FEW_TICKETS + 1).count() <= FEW_TICKETS:
+        # At most FEW_TICKETS x k narrow rows: they go to the corpus, which is then read in place.
+        # More of them meet the corpus in a shuffle.
+        found = F.broadcast(found)
+    found = retrieval.attach_payload(found, corpus, PAYLOAD, id_col)
     listed = retrieval.retrieved_list(found).withColumnRenamed("query_id", id_col)
     empty = F.array().cast(listed.schema["retrieved"].dataType)
     return tickets.join(listed, id_col, "left").withColumn("retrieved", F.coalesce("retrieved", empty))
@@ -159,7 +164,8 @@ def public_response(records: DataFrame, id_col: str = "ticket_id") -> DataFrame:
 
 def encode_tickets(df: DataFrame, encoder: features.Encoder | None = None, dim: int = DEFAULTS.embedding_dim, id_col: str = "ticket_id") -> DataFrame:
     """clean_body and its embedding; the raw body stays for the prompt."""
-    return features.embed(df.withColumn("clean_body", X.clean_text(F.col("body"))), "clean_body", encoder, id_col, dim)
+    clean = df.select("*", F.inline(F.array(F.struct(X.clean_text(F.col("body")).alias("clean_body")))))
+    return features.embed(clean, "clean_body", encoder, id_col, dim)
 
 
 def evaluation_summary(

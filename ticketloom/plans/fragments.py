@@ -114,6 +114,11 @@ def hashed(source: str, dim: int = DEFAULTS.embedding_dim) -> str:
 {s}_emb AS (SELECT ticket_id, list(x ORDER BY place) AS embedding FROM {s}_cells GROUP BY ticket_id)"""
 
 
+# Abstention limits at which the stand-in texts and vectors split into both outcomes; the default of
+# the library stays 0.55.
+CASE_THRESHOLD = 0.35
+VECTOR_THRESHOLD = 0.40
+
 # Cases with vectors and split, and the five nearest train cases of every test case.
 CASE_NEIGHBORS = (
     CASES + ",\n" + hashed("v_cases") + """,

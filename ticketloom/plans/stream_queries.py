@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ticketloom.operators import metrics as M
 from ticketloom.plans import fragments as Q
 from ticketloom.plans.registry import query
-from ticketloom.plans.triage_queries import _RECORDS, split_cases
+from ticketloom.plans.triage_queries import _RECORDS, CASE_SETTINGS, split_cases
 from ticketloom.scale import materialize, scratch_path
 from ticketloom.sources import tables as IO
 from ticketloom.sources import views
@@ -30,7 +30,7 @@ def stream_triage(spark, sf):
     corpus.write.parquet(f"{home}/corpus")
     stream = jobs.ticket_stream(spark, f"{home}/in", asked.schema)
     queues = M.label_list(views.cases(spark, sf))
-    _drain(jobs.triage_stream(stream, lambda s: s.read.parquet(f"{home}/corpus"), queues, f"{home}/out", f"{home}/state"))
+    _drain(jobs.triage_stream(stream, lambda s: s.read.parquet(f"{home}/corpus"), queues, f"{home}/out", f"{home}/state", CASE_SETTINGS))
     return spark.read.parquet(f"{home}/out").select(
         "ticket_id", "predicted_queue", "generated_answer", "needs_human_review",
         F.round("confidence_score", 6).alias("confidence_score"),

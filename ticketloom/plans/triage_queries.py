@@ -15,9 +15,11 @@ from ticketloom.operators import triage as T
 from ticketloom.plans import fragments as Q
 from ticketloom.plans.registry import query
 from ticketloom.scale import materialize
-from ticketloom.settings import DEFAULTS
+from ticketloom.settings import JobSettings
 from ticketloom.sources import views
 
+CASE_SETTINGS = JobSettings(confidence_threshold=Q.CASE_THRESHOLD)
+
 
 def split_cases(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Encoded test and train cases, from one written table: search, payload and prompt all read it."""
@@ -27,14 +29,14 @@ def split_cases(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def records(spark: SparkSession, sf: str, rerank: bool = False) -> DataFrame:
     asked, corpus = split_cases(spark, sf)
-    return T.triage(asked, corpus, M.label_list(views.cases(spark, sf)), rerank=rerank)
+    return T.triage(asked, corpus, M.label_list(views.cases(spark, sf)), CASE_SETTINGS, rerank=rerank)
 
 
 _RECORDS = f"""{Q.CASE_NEIGHBORS},
 best AS (SELECT p.ticket_id, p.subject, p.body, p.queue, p.answer, greatest(0.0, least(coalesce(n.score, 0.0), 1.0)) AS confidence_score, coalesce(c.queue, 'Unknown') AS nearest_queue, c.answer AS nearest_answer
   FROM parts p LEFT JOIN nn n ON n.query_id = p.ticket_id AND n.rank = 1 LEFT JOIN v_cases c ON c.ticket_id = n.neighbor_id WHERE p.split = 'test'),
-rec AS (SELECT *, confidence_score < {DEFAULTS.confidence_threshold} AS needs_human_review, nearest_queue AS predicted_queue,
-  CASE WHEN confidence_score >= {DEFAULTS.confidence_threshold} THEN nearest_answer END AS generated_answer FROM best)"""
+rec AS (SELECT *, confidence_score < {Q.CASE_THRESHOLD} AS needs_human_review, nearest_queue AS predicted_queue,
+  CASE WHEN confidence_score >= {Q.CASE_THRESHOLD} THEN nearest_answer END AS generated_answer FROM best)"""
 
 
 @query(
@@ -71,7 +73,7 @@ def retrieved_payload(spark, sf):
     "abstention",
     f"""WITH {Q.VECTOR_NEIGHBORS}, t AS (SELECT p.ticket_id, greatest(0.0, least(coalesce(n.score, 0.0), 1.0)) AS s, coalesce(n.neighbor_queue, 'Unknown') AS q
   FROM parts p LEFT JOIN nn n ON n.query_id = p.ticket_id AND n.rank = 1 WHERE p.split = 'test')
-SELECT ticket_id, round(s, 6) AS confidence_score, q AS nearest_queue, s < 0.40 AS needs_human_review FROM t""",
+SELECT ticket_id, round(s, 6) AS confidence_score, q AS nearest_queue, s < {Q.VECTOR_THRESHOLD} AS needs_human_review FROM t""",
 )
 def abstention(spark, sf):
     from ticketloom.plans.retrieval_queries import searched
@@ -80,7 +82,7 @@ def abstention(spark, sf):
     blank = F.lit(None).cast("string")
     payload = found.withColumns({f"neighbor_{c}": blank for c in ("subject", "body", "answer")})
     listed = R.retrieved_list(payload).withColumnRenamed("query_id", "ticket_id")
-    gated = T.gate(asked.select("ticket_id").join(listed, "ticket_id", "left"), 0.40)
+    gated = T.gate(asked.select("ticket_id").join(listed, "ticket_id", "left"), Q.VECTOR_THRESHOLD)
     return gated.select(
         "ticket_id", F.round("confidence_score", 6).alias("confidence_score"), "nearest_queue", "needs_human_review"
     )
@@ -105,7 +107,7 @@ FROM rec r JOIN ctx x ON x.query_id = r.ticket_id CROSS JOIN ql WHERE NOT r.need
 )
 def prompt_text(spark, sf):
     asked, corpus = split_cases(spark, sf)
-    gated = T.gate(T.retrieve(asked, corpus))
+    gated = T.gate(T.retrieve(asked, corpus), Q.CASE_THRESHOLD)
     queues = M.label_list(views.cases(spark, sf))
     return T.add_prompt(gated, queues).where(F.col("prompt").isNotNull()).select("ticket_id", "prompt")
 
@@ -117,7 +119,7 @@ def prompt_text(spark, sf):
 def draft_answers(spark, sf):
     asked, corpus = split_cases(spark, sf)
     queues = M.label_list(views.cases(spark, sf))
-    asked_for = T.generate(T.add_prompt(T.gate(T.retrieve(asked, corpus)), queues))
+    asked_for = T.generate(T.add_prompt(T.gate(T.retrieve(asked, corpus), Q.CASE_THRESHOLD), queues))
     return T.parse_replies(asked_for).where(F.col("parse_status") == "ok").select("ticket_id", "reply_queue", "reply_answer")
 
 

@@ -56,8 +56,8 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
     At most ``max_rows + 1`` rows reach the driver.  A larger table comes back unhinted, so the
     join shuffles and adaptive execution splits the hot keys.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = df.limit(max_rows + 1).toArrow()
+    if rows.num_rows > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
