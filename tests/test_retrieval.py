@@ -28,7 +28,7 @@ def brute(qm, cm, k, q0, c0):
 
 @pytest.mark.parametrize(
     "ways",
-    [{}, {"broadcast_bytes": 60 * 8 * 8}, {"broadcast_bytes": 0, "block_rows": 50}],
+    [{}, {"broadcast_bytes": 60 * 8 * 8}, {"broadcast_bytes": 0, "block_bytes": 600}],
     ids=["corpus broadcast", "queries broadcast", "block pairs"],
 )
 def test_every_way_is_exact(spark, ways):

@@ -23,8 +23,9 @@ from ticketloom.settings import DEFAULTS
 SCORE_DIGITS = 9
 # Largest side that is shipped to every executor, in bytes of float64.
 BROADCAST_BYTES = 64 << 20
-# Vectors of one side of a block pair when neither side is small enough.
-BLOCK_ROWS = 16_384
+# Bytes of float64 in a block of the larger side when neither side is small enough; a block of the
+# smaller side holds four times as much, as every vector is sent once per block of the other side.
+BLOCK_BYTES = 64 << 20
 # Cells of one score matrix: 32 MiB of float64.
 SCORE_CELLS = 4 << 20
 
@@ -140,7 +141,7 @@ def nearest(
     corpus_extra: Sequence[str] = ("queue",),
     query_extra: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The k corpus vectors of largest inner product with each query; fewer if the corpus has fewer.
 
@@ -195,8 +196,10 @@ def nearest(
 
         partial = c.mapInArrow(scan_corpus, schema)
     else:
-        q_blocks = max(1, math.ceil(sizes["q"]["rows"] / block_rows))
-        c_blocks = max(1, math.ceil(sizes["c"]["rows"] / block_rows))
+        smaller = "q" if sizes["q"]["cells"] <= sizes["c"]["cells"] else "c"
+        q_blocks, c_blocks = (
+            math.ceil(8 * sizes[s]["cells"] / (block_bytes * (4 if s == smaller else 1))) for s in ("q", "c")
+        )
 
         def tiled(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
             return df.withColumn(own, F.pmod(F.xxhash64(id_col), F.lit(own_n))).withColumn(
@@ -311,33 +314,3 @@ def token_overlap(a: Column, b: Column) -> Column:
     union = F.size(F.array_union(a, b))
     return F.when(union > 0, F.size(F.array_intersect(a, b)) / union).otherwise(F.lit(0.0))
 
-
-def lsh_nearest(
-    queries: DataFrame,
-    corpus: DataFrame,
-    k: int = DEFAULTS.top_k,
-    id_col: str = "ticket_id",
-    vec_col: str = "embedding",
-    bucket_length: float = 1.0,
-    tables: int = 8,
-    max_distance: float = 2.0,
-    seed: int = DEFAULTS.seed,
-) -> DataFrame:
-    """Approximate neighbours for corpora where exact search costs too much; unit vectors expected."""
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-
-    def side(df: DataFrame) -> DataFrame:
-        return df.where(F.col(vec_col).isNotNull()).select(id_col, array_to_vector(F.col(vec_col)).alias("features"))
-
-    lsh = BucketedRandomProjectionLSH(
-        inputCol="features", outputCol="hashes", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
-    held = side(corpus)
-    pairs = lsh.fit(held).approxSimilarityJoin(side(queries), held, max_distance, "distance")
-    found = pairs.select(
-        F.col(f"datasetA.{id_col}").alias("query_id"),
-        F.col(f"datasetB.{id_col}").alias("neighbor_id"),
-        F.round(F.lit(1.0) - F.col("distance") * F.col("distance") / 2, SCORE_DIGITS).alias("score"),
-    )
-    return top_k(found, k, "query_id", [F.desc("score"), F.asc("neighbor_id")])

@@ -125,6 +125,11 @@ def vote_scores(spark: SparkSession, sf: str, queries: str) -> DataFrame:
     return M.weighted_scores(grid, by=["k"])
 
 
+@query("weighted_scores", f"""WITH {_grid_sql('test')} SELECT CAST(k AS INTEGER) AS k, accuracy, "precision", recall, f1 FROM scores""")
+def weighted_scores(spark, sf):
+    return vote_scores(spark, sf, "test")
+
+
 @query(
     "grid_best",
     f"""WITH {_grid_sql('val')} SELECT 'vote' AS family, CAST(k AS INTEGER) AS k, f1 AS val_f1 FROM (
