@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ticketloom.functions import text as X
 from ticketloom.functions import vectors as V
+from ticketloom.scale import materialize
 from ticketloom.settings import DEFAULTS
 
 
@@ -77,7 +78,6 @@ class Tfidf:
     text_col: str
     id_col: str
     bigrams: bool
-    max_features: int
 
     def weights(self, docs: DataFrame) -> DataFrame:
         """id, term, idx, weight with unit length per document; unknown terms drop out."""
@@ -91,13 +91,13 @@ class Tfidf:
         return raw.select(self.id_col, "term", "idx", (F.col("_w") / length).alias("weight"))
 
     def vectors(self, docs: DataFrame, out_col: str = "features") -> DataFrame:
-        """``docs`` with a sparse ML vector; a document without known terms has the empty one."""
+        """``docs`` with a sparse ML vector as wide as the vocabulary; a document without known terms has the empty one."""
         entries = (
             self.weights(docs)
             .groupBy(self.id_col)
             .agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_entries"))
         )
-        return sparse_vectors(docs.join(entries, self.id_col, "left"), "_entries", self.max_features, out_col)
+        return sparse_vectors(docs.join(entries, self.id_col, "left"), "_entries", self.terms.count(), out_col)
 
 
 def fit_tfidf(
@@ -108,9 +108,9 @@ def fit_tfidf(
     min_df: int = DEFAULTS.min_df,
     max_features: int = DEFAULTS.max_features,
 ) -> Tfidf:
-    """Vocabulary and IDF from the training documents alone."""
-    terms = vocabulary(train, text_col, id_col, bigrams, min_df, max_features)
-    return Tfidf(terms, text_col, id_col, bigrams, max_features)
+    """Vocabulary and IDF from the training documents alone, written once for all that use them."""
+    terms = materialize(vocabulary(train, text_col, id_col, bigrams, min_df, max_features), "vocabulary")
+    return Tfidf(terms, text_col, id_col, bigrams)
 
 
 def sparse_vectors(df: DataFrame, entries_col: str, size: int, out_col: str) -> DataFrame:
