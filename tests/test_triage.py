@@ -7,7 +7,6 @@ from ticketloom.functions import replies as J
 from ticketloom.operators import features as E
 from ticketloom.operators import triage as T
 from ticketloom.settings import JobSettings
-from ticketloom.sources import views
 
 QUEUES = ["Billing", "IT Support"]
 

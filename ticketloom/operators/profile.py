@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from ticketloom.functions import text as X
 from ticketloom.operators.retrieval import top_k
-from ticketloom.settings import DEFAULTS
 from ticketloom.sources.tables import columns_with_prefix
 
 

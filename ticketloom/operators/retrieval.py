@@ -159,15 +159,13 @@ def nearest(
     schema = _result_schema(q, c, id_col, query_extra, corpus_extra)
     arrow = to_arrow_schema(schema)
 
-    def measured(df: DataFrame, side: str) -> DataFrame:
-        return df.agg(
-            F.lit(side).alias("side"),
-            F.count(F.lit(1)).alias("rows"),
-            F.coalesce(F.sum(F.size(vec_col).cast("long")), F.lit(0)).alias("cells"),
-        )
-
-    sizes = {r["side"]: r for r in measured(q, "q").unionByName(measured(c, "c")).collect()}
-    fits = {s: 8 * r["cells"] <= broadcast_bytes for s, r in sizes.items()}
+    # Row counts need no column at all and one vector tells the width; rows without a vector only
+    # make the estimate larger.
+    counted = lambda df, side: df.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("rows"))
+    rows = dict(map(tuple, counted(queries, "q").unionByName(counted(corpus, "c")).collect()))
+    sample = c.select(F.size(vec_col)).first()
+    size = {side: 8 * n * (sample[0] if sample else 0) for side, n in rows.items()}
+    fits = {side: n <= broadcast_bytes for side, n in size.items()}
 
     if fits["c"]:
         shared = spark.sparkContext.broadcast(c.toArrow())
@@ -196,9 +194,9 @@ def nearest(
 
         partial = c.mapInArrow(scan_corpus, schema)
     else:
-        smaller = "q" if sizes["q"]["cells"] <= sizes["c"]["cells"] else "c"
+        smaller = "q" if size["q"] <= size["c"] else "c"
         q_blocks, c_blocks = (
-            math.ceil(8 * sizes[s]["cells"] / (block_bytes * (4 if s == smaller else 1))) for s in ("q", "c")
+            math.ceil(size[side] / (block_bytes * (4 if side == smaller else 1))) for side in ("q", "c")
         )
 
         def tiled(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions import replies as J
-from ticketloom.operators import corpus as C
 from ticketloom.operators import metrics as M
 from ticketloom.operators import overlap as O
 from ticketloom.operators import retrieval as R
