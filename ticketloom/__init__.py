@@ -1,8 +1,5 @@
-"""ticketloom: support-ticket corpus analytics and retrieval as PySpark DataFrame operators."""
+"""ticketloom: support-ticket corpus analytics and retrieval as PySpark DataFrame operators.
 
-import sys
-
-from pyspark import cloudpickle
-
-# Functions that run inside tasks travel with the job, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+Executors import this package: call :func:`ticketloom.deploy.ship_package` once for a session
+whose workers do not have it on their path.
+"""
