@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import packing, rans, token_counts
-from ticketloom.llm.tables import documents
+from ticketloom.llm import packing, positional_index, rans, token_counts
+from ticketloom.llm.tables import documents, read_table
 
 QUERIES = {}
 ORACLES = {}
@@ -37,6 +37,27 @@ def counted_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
 
 
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query(
+    "op8_decontamination",
+    f"""WITH dw AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+bw AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT item_id, least(len(w), 10) AS m, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i, w FROM bw WHERE len(w) > 0),
+asked AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS gram FROM win),
+runs AS (SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS gram FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM dw, (SELECT DISTINCT m FROM asked) WHERE len(w) >= m)),
+hits AS (SELECT doc_id, item_id, i, r.m FROM runs r JOIN asked a ON a.m = r.m AND a.gram = r.gram),
+hit_words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + m)) AS p FROM hits) GROUP BY doc_id),
+hit_items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT dw.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)""",
+)
+def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positional_index.contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"), window=10)
+
+
 def queries():
     return dict(QUERIES)
 
