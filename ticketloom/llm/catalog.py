@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import packing, positional_index, rans, token_counts
+from ticketloom.llm import packing, positional_index, rans, segment_search, token_counts
 from ticketloom.llm.tables import documents, read_table
 
 QUERIES = {}
@@ -22,6 +22,19 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query(
+    "op2_topk",
+    """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 20 = 0 AND a.vec_id <> b.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20""",
+)
+def nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return segment_search.top_k(read_table(spark, sf_dir, "embeddings"), every=20, k=20, scale=64.0)
+
+
 @query("op3_packing")
 def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1, room=2048)
