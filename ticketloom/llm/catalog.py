@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import packing, positional_index, rans, segment_search, token_counts
+from ticketloom.llm import packing, positional_index, quality_ranking, rans, segment_search, token_counts
 from ticketloom.llm.tables import documents, read_table
 
 QUERIES = {}
@@ -40,6 +40,11 @@ def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1, room=2048)
 
 
+@query("op5_quality")
+def quality_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_ranking.quality_scores(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"), held_out_parts=5, cut=0.3)
+
+
 @query("op6_token_ids")
 def stored_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rans.round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
