@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import packing, positional_index, quality_ranking, rans, segment_search, token_counts
+from ticketloom.llm import packing, positional_index, quality_ranking, rans, segment_search, token_counts, toxicity
 from ticketloom.llm.tables import documents, read_table
 
 QUERIES = {}
@@ -22,6 +22,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_toxicity")
+def toxicity_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"), held_out_parts=3, held_out_part=1, cut=0.7)
+
+
 @query(
     "op2_topk",
     """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS q FROM embeddings
