@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import packing, positional_index, quality_ranking, rans, segment_search, token_counts, toxicity
+from ticketloom.llm import packing, personal_data, positional_index, quality_ranking, rans, segment_search, token_counts, toxicity
 from ticketloom.llm.tables import documents, read_table
 
 QUERIES = {}
@@ -81,6 +81,11 @@ def contaminated_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return positional_index.contamination(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"), window=10)
 
 
+@query("op9_personal_data")
+def personal_data_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal_data.digest(personal_data.find(documents(spark, sf_dir)))
+
+
 def queries():
     return dict(QUERIES)
 
