@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import packing, personal_data, positional_index, quality_ranking, rans, segment_search, token_counts, toxicity
+from ticketloom.llm import packing, personal_data, positional_index, quality_ranking, rans, segment_search, shingle_join, token_counts, toxicity
 from ticketloom.llm.tables import documents, read_table
 
 QUERIES = {}
@@ -86,6 +86,21 @@ def personal_data_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal_data.digest(personal_data.find(documents(spark, sf_dir)))
 
 
+@query(
+    "op10_jaccard_join",
+    r"""WITH RECURSIVE dw AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+sh AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM dw WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+met AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM met JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * k >= 75 * (x.n + y.n - k)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT reach.a, link.b FROM reach JOIN link ON link.a = reach.b)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, c.b AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a, min(b) AS b FROM reach GROUP BY a) c ON c.a = d.doc_id""",
+)
+def joined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shingle_join.near_duplicates(documents(spark, sf_dir))
+
+
 def queries():
     return dict(QUERIES)
 
