@@ -9,7 +9,7 @@ nodes link when 100 * intersection >= 75 * union.  Any two that do share a shing
    two nodes or more go back to the chunk.  A shingle of one node comes first in the order and links nothing,
    so a node whose prefix is made of such shingles is done: no link can reach it.
 2. For the others the prefix is joined on its shingles.  Every shingle's nodes are first compared with
-   a few of their own, picked by hash; then only nodes that no link has joined yet meet each other,
+   a few of their own, those with the fewest shingles alone (ties by hash), as they are nearest to all; then only nodes that no link has joined yet meet each other,
    a frequent shingle in several tasks.  Pairs pass the length, the positional and the suffix filter, and
    each is verified once, on its shared shingles.
 3. Components come from least-label propagation with pointer jumping, written in every round.
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.arrays import binaries, distinct, listed, slices, utf8
+from ticketloom.llm.arrays import binaries, distinct, gather, listed, slices, utf8
 from ticketloom.llm.tables import materialize, texts
 
 WORDS = 5
@@ -41,6 +41,7 @@ CHUNK_BYTES = 8 << 20
 RANGE_BYTES = 4 << 20  # of text for each range of hashes
 PICKS = 4
 CELL_NODES = 4096
+BEFORE = 32  # a prefix row carries the shingles before it if no more than these
 BLANK = np.zeros(256, bool)
 BLANK[[32, 9, 10, 11, 12, 13]] = True
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -259,22 +260,33 @@ def _prefix_job() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatc
             row = np.repeat(np.arange(len(n)), take)
             within = np.arange(len(row)) - np.repeat(np.cumsum(take) - take, take)
             flat = np.concatenate([g[:t] for g, t in zip(grams, take, strict=True)]) if len(grams) else np.zeros(0, np.int64)
+            near = within <= BEFORE
+            sizes = np.where(near, within, 0)
+            before = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), pa.array(gather(flat, np.arange(len(row)) - within, sizes), pa.int64()), mask=pa.array(~near))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(flat, pa.int64()), batch.column("node").take(pa.array(row)), pa.array(n[row]), pa.array(unique[row]), pa.array(within)],
-                ["gram", "node", "n", "unique", "at"],
+                [pa.array(flat, pa.int64()), batch.column("node").take(pa.array(row)), pa.array(n[row]), pa.array(unique[row]), pa.array(within), before],
+                ["gram", "node", "n", "unique", "at", "before"],
             )
 
     return run
 
 
-def _passes(x: str, y: str):
-    """The length and the positional filter on the columns of two prefix rows that share a shingle."""
+def _passes(x: str, y: str, first: bool = False):
+    """The length and the positional filter on the columns of two prefix rows that share a shingle.
+
+    With ``first`` only the first shingle that both prefixes share counts, where the rows tell which it is:
+    nothing before it is shared, and the pair comes once.
+    """
     n_x, n_y, at_x, at_y, own_x, own_y = (F.col(c) for c in (f"{x}.n", f"{y}.n", f"{x}.at", f"{y}.at", f"{x}.unique", f"{y}.unique"))
     size = (100 * F.least(n_x, n_y)) >= PERCENT * F.greatest(n_x, n_y)
     need = F.floor((PERCENT * (n_x + n_y) + 99 + PERCENT) / (100 + PERCENT))
     # Shared shingles before this one are before it in both; shingles of one node are not shared.
-    reach = F.least(at_x, at_y) + F.least(n_x - own_x - at_x, n_y - own_y - at_y)
-    return size & (reach >= need)
+    after = F.least(n_x - own_x - at_x, n_y - own_y - at_y)
+    if not first:
+        return size & (F.least(at_x, at_y) + after >= need)
+    known = F.col(f"{x}.before").isNotNull() & F.col(f"{y}.before").isNotNull()
+    tight = F.when(after >= need, ~F.arrays_overlap(f"{x}.before", f"{y}.before")).otherwise(False)
+    return size & F.when(known, tight).otherwise(F.least(at_x, at_y) + after >= need)
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
@@ -307,12 +319,12 @@ def components(edges: DataFrame, name: str = "labels") -> DataFrame:
 
 def linked_nodes(sets: DataFrame) -> DataFrame:
     """``node, label`` of the nodes that have a link."""
-    prefixes = materialize(sets.mapInArrow(_prefix_job(), "gram long, node binary, n long, unique long, at long"), "prefixes")
+    prefixes = materialize(sets.mapInArrow(_prefix_job(), "gram long, node binary, n long, unique long, at long, before array<long>"), "prefixes")
     # A shingle in the prefix of a single node joins nothing.
     wide = prefixes.groupBy("gram").agg(F.count("*").alias("nodes")).where("nodes > 1")
     prefixes = materialize(prefixes.join(wide, "gram"), "shared-prefixes")
     turn = F.pmod(F.xxhash64("gram"), F.lit(PICKS))
-    pick = prefixes.groupBy("gram").agg(F.min_by(F.struct("node", "n", "unique", "at"), F.xxhash64("node", turn)).alias("p")).select("gram", "p.*")
+    pick = prefixes.groupBy("gram").agg(F.min_by(F.struct("node", "n", "unique", "at"), F.struct("unique", F.xxhash64("node", turn))).alias("p")).select("gram", "p.*")
     met = prefixes.alias("x").join(pick.alias("y"), "gram").where((F.col("x.node") != F.col("y.node")) & _passes("x", "y"))
     met_pairs = materialize(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "picked-pairs")
     links = _verified(met_pairs, sets, "picked-links")
@@ -325,7 +337,7 @@ def linked_nodes(sets: DataFrame) -> DataFrame:
     # Nodes beside the shingle's main component meet all others; of a frequent shingle, in several cells.
     few = rest.where("label <> main").withColumn("cell", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
     every = rest.withColumn("cell", F.pmod(F.xxhash64("node"), F.col("cells")).cast("int"))
-    pairs = few.alias("x").join(every.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.label") != F.col("y.label")) & _passes("x", "y"))
+    pairs = few.alias("x").join(every.alias("y"), (F.col("x.gram") == F.col("y.gram")) & (F.col("x.cell") == F.col("y.cell")) & (F.col("x.label") != F.col("y.label")) & _passes("x", "y", first=True))
     pairs = pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct().join(met_pairs, ["a", "b"], "left_anti")
     return components(links.unionByName(_verified(pairs, sets, "open-links")), "final-labels")
 
