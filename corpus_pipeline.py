@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticketloom.llm import packing, personal_data, positional_index, quality_ranking, shingle_join
 from ticketloom.llm.tables import documents, materialize
@@ -31,8 +32,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data give way to their kind in brackets."""
-    return personal_data.masked(docs)
+    """Personal data give way to their kind in brackets; ``n_chars`` follows the text."""
+    hidden = personal_data.masked(docs)
+    return hidden.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else hidden
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
