@@ -206,9 +206,9 @@ def _ask_job(phrases: Phrases, near: tuple[int, int] | None) -> Callable[[Iterat
                 which, begin, end, doc = which[inside], begin[inside], end[inside], doc[inside]
                 order = np.lexsort((begin, doc))
                 which, begin, end, doc = which[order], begin[order] - base[doc[order]], end[order] - base[doc[order]], doc[order]
-                heads = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1]))) if len(doc) else []
+                heads = np.flatnonzero(np.diff(doc, prepend=-1))
                 cols: list[list] = [[], [], [], []]
-                for a, b in zip(heads, [*heads[1:], len(doc)], strict=True):
+                for a, b in zip(heads, np.append(heads, len(doc))[1:], strict=True):
                     spans: list[dict] = []
                     for x, y in zip(begin[a:b].tolist(), end[a:b].tolist(), strict=True):
                         if spans and x <= spans[-1]["end"]:
