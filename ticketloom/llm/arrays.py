@@ -160,8 +160,8 @@ class ChunkEncoder:
             place[w] = len(self.ends) - 1
             self.ends.append(len(self.flat))
 
-    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of a string column and where each text's ids begin."""
+    def _places(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """For each chunk its code; for each code where its ids are held; the cuts and the texts' offsets."""
         data, offsets = utf8(column)
         if np.any((data[:-1] == 60) & (data[1:] == 124)):  # "<|" may begin a special string: leave those whole
             cuts = chunk_cuts(data, offsets)
@@ -174,14 +174,25 @@ class ChunkEncoder:
         if len(self.place) > self.held:
             self._forget()
         self._learn([w for w in words if w not in self.place])
-        known = np.fromiter(map(self.place.__getitem__, words), np.int64, len(words))[codes]
-        ends = np.frombuffer(self.ends, np.int64)
+        return codes, np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)), cuts, offsets
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of a string column and where each text's ids begin."""
+        codes, place, cuts, offsets = self._places(column)
+        known, ends = place[codes], np.frombuffer(self.ends, np.int64)
         starts, lengths = ends[known], ends[known + 1] - ends[known]
         ids = gather(np.frombuffer(self.flat, np.uint32), starts, lengths).copy()
-        del ends
         begins = np.concatenate(([0], np.cumsum(lengths)))
         return ids, begins[np.searchsorted(cuts, offsets)]
 
+    def count(self, column: pa.Array) -> np.ndarray:
+        """How often each id occurs in a string column."""
+        codes, place, _, _ = self._places(column)
+        ends = np.frombuffer(self.ends, np.int64)
+        starts, lengths = ends[place], ends[place + 1] - ends[place]
+        times = np.repeat(np.bincount(codes, minlength=len(place)), lengths)
+        return np.bincount(gather(np.frombuffer(self.flat, np.uint32), starts, lengths), times).astype(np.int64)
+
 
 _encoders: dict[str, ChunkEncoder] = {}
 

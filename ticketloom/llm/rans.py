@@ -153,10 +153,10 @@ def _count_job(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], I
     def run(batches):
         total = np.zeros(0, np.int64)
         for rows in slices(batches):
-            ids, lengths = _with_ends(*encoder(path).encode(rows.column("text")), end_id)
-            seen = np.bincount(ids, minlength=len(total))
-            seen[: len(total)] += total
-            total = seen
+            seen = encoder(path).count(rows.column("text"))
+            wide = max(len(seen), len(total), end_id + 1)
+            total = np.pad(total, (0, wide - len(total))) + np.pad(seen, (0, wide - len(seen)))
+            total[end_id] += rows.num_rows
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(total[hit], pa.int64())], ["symbol", "n"])
 
@@ -186,7 +186,7 @@ def _encode_job(path: str, end_id: int, table: Table) -> Callable[[Iterator[pa.R
                 ["shard", "block", "n_ids", "doc_ids", "lengths", "payload"],
             )
 
-        for rows in slices(batches, limit=1 << 20):
+        for rows in slices(batches, limit=4 << 20):
             ids, lengths = _with_ends(*encoder(path).encode(rows.column("text")), end_id)
             held.append((ids, lengths, rows.column("doc_id").to_pylist()))
             size += len(ids)
