@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.arrays import binaries, distinct, gather, slices, utf8
-from ticketloom.llm.tables import materialize, texts
+from ticketloom.llm.tables import materialize, texts, without_ids
 
 BLOCK = "block long, doc_ids array<long>, n_words array<long>, terms array<binary>, counts binary, places binary"
 FOUND = "block long, nth int, spans array<struct<begin:long,end:long>>, items array<long>"
@@ -272,5 +272,4 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10
     """
     index = build_index(docs)
     hit = index.select("block", F.posexplode("doc_ids").alias("nth", "doc_id")).join(matches(index, benchmark, window).select("block", "nth"), ["block", "nth"], "left_semi")
-    bad = materialize(hit.select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_bad"]), "left_anti")
+    return without_ids(docs, hit)

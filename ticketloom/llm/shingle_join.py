@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.arrays import binaries, distinct, gather, listed, slices, utf8
-from ticketloom.llm.tables import materialize, texts
+from ticketloom.llm.tables import materialize, texts, without_ids
 
 WORDS = 5
 PERCENT = 75
@@ -361,6 +361,4 @@ def keep_one(docs: DataFrame) -> DataFrame:
 
     Rows without words stay as they are.
     """
-    found = near_duplicates(docs)
-    gone = materialize(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "near-copies")
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("_gone"), "left_anti")
+    return without_ids(docs, near_duplicates(docs).where("doc_id <> component_id"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,3 +23,10 @@ def texts(docs: DataFrame) -> DataFrame:
 def fold(doc_id: str | Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null for a null id."""
     return (F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % parts).cast("int")
+
+
+def without_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` is not in ``ids``, all columns kept; a null id counts as an id."""
+    name = f"id_{uuid.uuid4().hex}"
+    gone = materialize(ids.select(F.col("doc_id").alias(name)).distinct(), "gone")
+    return docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone[name]), "left_anti")

@@ -42,7 +42,8 @@ PART = 64
 LEXICON = 20_000
 PREFIXES = range(3, 9)
 MIN_DOCS, MIN_Z, LARGEST_WEIGHT = 3, 4.0, 8.0
-TRIM = re.compile(r"^[^\w@$+|]+|[^\w@$+]+$|^(.)\1{2,}(?=\w)|(?<=\w)([^\w])\2{2,}[^\w]*$")
+# Marks around a word; a sign that looks like a letter may begin or end one.
+TRIM = re.compile(r"^([^\w])\1{2,}|^[^\w@$+|!€£¡§]+|([^\w])\2{2,}[^\w]*$|[^\w@$+]+$")
 RUN = re.compile(r"(.)\1\1")
 
 
@@ -151,7 +152,9 @@ def restore(token: str, model: LetterModel) -> str:
 
 
 def parts_of(word: str) -> list[str]:
-    """The word and its beginnings; a beginning has a mark behind it."""
+    """The word and its beginnings; a beginning has a mark behind it.  A single letter is no evidence."""
+    if len(word) < 2:
+        return []
     return [word] + [word[:k] + "*" for k in PREFIXES if k < len(word)]
 
 
