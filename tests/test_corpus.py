@@ -36,14 +36,14 @@ def test_lemmas_map_back_to_every_copy(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "ticket_id long, clean_body string")
     lemmas = spark.createDataFrame([("tickets", "ticket"), ("printing", "print"), ("words", "word")], "token string, lemma string")
     # A share of 0.3 makes the copied text hot, so it takes the salted way.
-    out = C.map_distinct(df, "clean_body", "lemmatized_body", lambda t: C.lemmatize(t, lemmas), hot_share=0.3)
+    out = C.map_distinct(df, "clean_body", "lemmatized_body", lambda t: C.lemmatize(t, lemmas), hot_share=0.3, hot_rows=0)
     assert [r["lemmatized_body"] for r in out.orderBy("ticket_id").collect()] == ["print", "other word", "print", "", None]
 
 
 def test_salted_join_is_a_join(spark):
     left = spark.range(1000).select("id", F.when(F.col("id") < 700, 1).otherwise(F.col("id") % 50).alias("k"))
     right = spark.range(60).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
-    hot = hot_keys(left.groupBy("k").count(), "k", "count", 0.1)
+    hot = hot_keys(left.groupBy("k").count(), "k", "count", 0.1, least=0)
     assert [r[0] for r in hot.collect()] == [1]
     got = salted_join(left, right, "k", hot, F.col("id"), salts=8)
     assert sorted(map(tuple, got.select("id", "k", "v").collect())) == sorted(map(tuple, left.join(right, "k", "left").select("id", "k", "v").collect()))

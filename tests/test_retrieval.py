@@ -102,3 +102,24 @@ def test_no_pair_ever_becomes_a_row(spark, sf):
     for name in ("knn_topk", "knn_vote_eval", "triage_records"):
         plan = catalog.queries()[name](spark, sf)._jdf.queryExecution().executedPlan().toString()
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+WAYS = [{}, {"broadcast_bytes": 400}, {"broadcast_bytes": 0, "block_bytes": 64}]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_vectors_with_holes_take_no_part(spark, way):
+    nan = float("nan")
+    corpus = [(i, [float(i), 1.0]) for i in range(12)] + [(20, [nan, 1.0]), (21, [None, 1.0]), (22, [float("inf"), 0.0]), (23, None)]
+    df = spark.createDataFrame(corpus, "ticket_id long, embedding array<double>")
+    asked = spark.createDataFrame([(1, [1.0, 0.0]), (2, [nan, 0.0])], "ticket_id long, embedding array<double>")
+    found = R.nearest(asked, df, 5, corpus_extra=(), **way).collect()
+    assert sorted((r["query_id"], r["rank"], r["neighbor_id"]) for r in found) == [(1, r + 1, 11 - r) for r in range(5)]
+
+
+@pytest.mark.parametrize("way", WAYS)
+def test_vectors_of_different_lengths_are_an_error(spark, way):
+    df = spark.createDataFrame([(1, [1.0, 2.0]), (2, [1.0]), (3, [1.0, 2.0, 3.0])], "ticket_id long, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([(9, [1.0, 0.0])], "ticket_id long, embedding array<double>")
+    with pytest.raises(Exception, match="differ in length|mismatch"):
+        R.nearest(asked, df, 2, corpus_extra=(), **way).collect()

@@ -157,3 +157,21 @@ def test_encode_then_triage_end_to_end(spark):
     new = spark.createDataFrame([(2, "Hi", text.upper() + "!!")], "ticket_id long, subject string, body string")
     row = T.triage(T.encode_tickets(new), T.encode_tickets(old), ["Billing"], JobSettings(top_k=3)).first()
     assert row["generated_answer"] == "Corrected." and row["confidence_score"] > 0.999
+
+
+def test_model_is_asked_once_per_ticket(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def load():
+        def reply(prompts):
+            calls.add(len(prompts))
+            return [json.dumps({"predicted_queue": "IT Support", "generated_answer": "done"})] * len(prompts)
+
+        return reply
+
+    out = T.triage(asked(spark, (1, 0, 0), (0, 0, 1.0)), corpus(spark), QUEUES, generator=T.model_generator(load))
+    assert out.where("parse_status = 'ok'").count() == 1
+    assert calls.value == 1
+    truth = out.withColumn("queue", F.lit("IT Support")).withColumn("answer", F.lit("done"))
+    T.evaluation_summary(truth).collect()
+    assert calls.value == 2

@@ -53,12 +53,13 @@ def map_distinct(
     process: Callable[[DataFrame], DataFrame],
     id_col: str = "ticket_id",
     hot_share: float = 0.001,
+    hot_rows: int = 10_000,
 ) -> DataFrame:
     """Work each distinct text once and hand the result back to all its copies.
 
     ``process`` gets (text_key, ``text_col``) and returns (text_key, ``out_col``).  Texts are
     grouped and joined by a 32-byte digest, counted before the shuffle, and the copies of a text
-    that makes up more than ``hot_share`` of the table are spread over many tasks on the way back.
+    that makes up more than ``hot_share`` of the table, and ``hot_rows`` rows, are spread over many tasks on the way back.
     """
     keyed = df.withColumn("text_key", X.text_digest(F.col(text_col)))
     distinct = (
@@ -67,7 +68,7 @@ def map_distinct(
         .agg(F.first(text_col).alias(text_col), F.count(F.lit(1)).alias("copies"))
     )
     done = process(distinct.select("text_key", text_col)).select("text_key", out_col)
-    hot = hot_keys(distinct, "text_key", "copies", hot_share)
+    hot = hot_keys(distinct, "text_key", "copies", hot_share, hot_rows)
     return salted_join(keyed, done, "text_key", hot, F.col(id_col)).select(*df.columns, out_col)
 
 

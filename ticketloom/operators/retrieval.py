@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,9 +43,11 @@ def _side(batch: pa.Table, id_col: str, vec_col: str, extra: Sequence[str]) -> _
     rows = table.num_rows
     lists = table.column(vec_col)
     flat = (lists.chunk(0) if lists.num_chunks else pa.array([], lists.type)).flatten()
-    width = len(flat) // rows if rows else 0
-    if rows and width * rows != len(flat):
-        raise ValueError(f"vectors in {vec_col} differ in length")
+    sizes = pc.list_value_length(lists).to_numpy() if rows else np.zeros(0, np.int64)
+    width = int(sizes[0]) if rows else 0
+    odd = np.flatnonzero(sizes != width)
+    if len(odd):
+        raise ValueError(f"vectors in {vec_col} differ in length: {width} and {int(sizes[odd[0]])} at {id_col} {table.column(id_col)[int(odd[0])].as_py()}")
     matrix = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(rows, width)
     ids = table.column(id_col).to_numpy()
     if ids.dtype == object:
@@ -150,21 +153,26 @@ def nearest(
     corpus partition keeps k candidates per query, merged by a top-k window.  Else both sides
     are cut into blocks by id hash and every pair of blocks is one task of bounded size.  All
     three are exact, and no pair of vectors is ever a row.
+
+    A vector that is null or holds a null, NaN or infinite element takes no part on either side;
+    vectors of different lengths are an error that names the id.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     spark = queries.sparkSession
-    q = queries.where(F.col(vec_col).isNotNull()).select(id_col, vec_col, *query_extra)
-    c = corpus.where(F.col(vec_col).isNotNull()).select(id_col, vec_col, *corpus_extra)
+    finite = F.col(vec_col).isNotNull() & F.forall(vec_col, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    q = queries.where(finite).select(id_col, vec_col, *query_extra)
+    c = corpus.where(finite).select(id_col, vec_col, *corpus_extra)
     schema = _result_schema(q, c, id_col, query_extra, corpus_extra)
     arrow = to_arrow_schema(schema)
 
-    # Row counts need no column at all and one vector tells the width; rows without a vector only
-    # make the estimate larger.
-    counted = lambda df, side: df.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("rows"))
-    rows = dict(map(tuple, counted(queries, "q").unionByName(counted(corpus, "c")).collect()))
-    sample = c.select(F.size(vec_col)).first()
-    size = {side: 8 * n * (sample[0] if sample else 0) for side, n in rows.items()}
+    # The widest vector and the bytes of what travels beside it; one job for both sides.
+    def counted(df: DataFrame, side: str, extra: Sequence[str]) -> DataFrame:
+        beside = sum((F.coalesce(F.octet_length(F.col(x).cast("string")), F.lit(0)) for x in extra), F.lit(8))
+        return df.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("rows"), F.max(F.size(vec_col)).alias("width"), F.sum(beside).alias("beside"))
+
+    measured = counted(queries, "q", query_extra).unionByName(counted(corpus, "c", corpus_extra)).collect()
+    size = {side: 8 * n * max(1, width or 0) + (beside or 0) for side, n, width, beside in measured}
     fits = {side: n <= broadcast_bytes for side, n in size.items()}
 
     if fits["c"]:

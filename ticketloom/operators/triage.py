@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from ticketloom.functions import replies as J
 from ticketloom.functions import text as X
 from ticketloom.operators import features, metrics, overlap, retrieval
+from ticketloom.scale import materialize
 from ticketloom.settings import DEFAULTS, JobSettings
 
 # A generator turns the gated table, whose ``prompt`` is null where the ticket abstains, into the
@@ -47,7 +48,9 @@ def model_generator(load: Callable[[], Callable[[list[str]], list[str]]]) -> Gen
             yield out
 
     ask.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
-    reply = F.pandas_udf(ask, T.StringType())
+    # A model is paid by the call and may answer differently: no filter may pass below it and no
+    # branch may repeat it.
+    reply = F.pandas_udf(ask, T.StringType()).asNondeterministic()
     return lambda df: reply(F.col("prompt"))
 
 
@@ -176,7 +179,10 @@ def evaluation_summary(
     Records whose reply failed to parse, or named no queue, are left out.  An abstained ticket with
     a queue guess is scored on the guess.  ``sample_size`` and ``abstention_rate_ref`` count such a
     ticket twice, as the published figures do; ``tickets`` and ``abstention_rate`` count it once.
+    What is scored is written once, so a generator behind it runs once for each ticket.
     """
+    needed = dict.fromkeys([id_col, truth, reference, "predicted_queue", "generated_answer", "needs_human_review", "parse_status"])
+    records = materialize(records.select(*needed), "scored-records")
     named = F.col("predicted_queue").isNotNull() & (F.col("predicted_queue") != "")
     waits = F.col("needs_human_review")
     used = records.where(waits | ((F.col("parse_status") == "ok") & named))

@@ -62,13 +62,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 20_000) -> DataFrame:
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
 
 
-def hot_keys(counted: DataFrame, key: str, count_col: str, share: float = 0.001) -> DataFrame:
-    """Keys holding more than ``share`` of all rows.
+def hot_keys(counted: DataFrame, key: str, count_col: str, share: float = 0.001, least: int = 10_000) -> DataFrame:
+    """Keys holding more than ``share`` of all rows and ``least`` rows at that.
 
-    No more than ``1 / share`` keys can, which is what makes broadcasting them safe.
+    No more than ``1 / share`` keys can, which is what makes broadcasting them safe; fewer rows
+    than ``least`` fit one task whatever their share.
     """
     total = counted.agg(F.sum(count_col)).scalar()
-    return counted.where(F.col(count_col) > total * share).select(key)
+    return counted.where((F.col(count_col) > total * share) & (F.col(count_col) > least)).select(key)
 
 
 def salted_join(
