@@ -34,6 +34,7 @@ from ticketloom.llm.tables import materialize
 BLOCK_ROWS = 8192
 QUERY_ROWS = 256  # queries whose bounds are held at once
 LARGEST = 1 << 24
+SPARSE = 16  # one pair in so many is open: from there on pairs are looked at one by one
 BLOCK = "block long, dim int, n long, ids binary, vectors binary"
 QUERIES = "block long, dim int, ids binary, vectors binary, floors binary"
 FOUND = "block long, nth int, query_id long, vec_id long, score long"
@@ -88,12 +89,12 @@ def _blocks_job(scale: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 
 
 def segment_counts(dim: int) -> list[int]:
-    """1, 4, 16, ... segments while a segment has two components at least."""
+    """1, 4, 16, ... segments of three components at least, and one level of two components."""
     out, n = [], 1
-    while n * 2 <= dim:
+    while n * 2 < dim:
         out.append(n)
         n *= 4
-    return out
+    return out + [dim // 2] * (dim > 1)
 
 
 def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
@@ -130,27 +131,37 @@ def _dots(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndar
     return out
 
 
-def survivors(queries: Side, corpus: Side, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, candidate) whose score may reach the query's floor."""
-    least = np.where(floors == NO_FLOOR, -np.inf, floors.astype(np.float64))
-    slack = 1e-9 * queries.norm[:, None] * corpus.norm.max(initial=1.0) + 1e-6
-    i = j = None
+def scored_survivors(queries: Side, corpus: Side, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query, candidate, score) of the pairs whose bounds on all levels and whose score reach the query's floor.
+
+    Few survivors are scored one by one; where the bounds leave many, as one product of the blocks, in
+    floating point only while every score is a whole number below 2^53.
+    """
+    reach = np.where(floors == NO_FLOOR, -np.inf, floors.astype(np.float64))
+    # Bounds are floating-point: a little below the floor still counts as reaching it.
+    least = reach - (1e-9 * queries.norm * corpus.norm.max(initial=1.0) + 1e-6)
+    size = len(least) * len(corpus.ids)
+    open_, i, j = np.ones((len(least), len(corpus.ids)), bool), None, None
     for a, b in zip(queries.levels, corpus.levels, strict=True):
-        if i is None or len(i) > len(least) * len(corpus.ids) // 16:
-            # Still dense: all bounds of this level as one matrix product.
-            open_ = a @ b.T + slack >= least[:, None]
-            if i is not None:
-                kept = open_[i, j]
-                i, j = i[kept], j[kept]
-            else:
+        if i is None:
+            # While many pairs are open, all bounds of a level are one matrix product.
+            open_ &= a @ b.T >= least[:, None]
+            if np.count_nonzero(open_) * SPARSE <= size:
                 i, j = np.nonzero(open_)
         else:
-            kept = _dots(a, b, i, j) + slack[i, 0] >= least[i]
+            kept = _dots(a, b, i, j) >= least[i]
             i, j = i[kept], j[kept]
-    if i is None:
-        i, j = (x.ravel() for x in np.indices((len(queries.ids), len(corpus.ids))))
+    if i is not None:
+        scores = _dots(queries.vectors, corpus.vectors, i, j)
+        kept = scores >= floors[i]
+        i, j, scores = i[kept], j[kept], scores[kept]
+    else:
+        exact = queries.norm.max(initial=0.0) * corpus.norm.max(initial=0.0) < 2.0**52
+        products = queries.vectors.astype(np.float64) @ corpus.vectors.T.astype(np.float64) if exact else queries.vectors @ corpus.vectors.T
+        i, j = np.nonzero(open_ & (products >= (reach[:, None] if exact else floors[:, None])))
+        scores = products[i, j].astype(np.int64)
     own = queries.ids[i] == corpus.ids[j]
-    return i[~own], j[~own]
+    return i[~own], j[~own], scores[~own]
 
 
 def _best(i: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -166,10 +177,7 @@ def search(queries: Side, blocks: Iterator[Side], floors: np.ndarray, k: int) ->
     floors = floors.copy()
     best = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64))
     for corpus in blocks:
-        i, j = survivors(queries, corpus, floors)
-        scores = _dots(queries.vectors, corpus.vectors, i, j)
-        keep = scores >= floors[i]
-        i, j, scores = i[keep], j[keep], scores[keep]
+        i, j, scores = scored_survivors(queries, corpus, floors)
         best = _best(*(np.concatenate(x) for x in zip(best, (i, corpus.ids[j], scores), strict=True)), k)
         full = np.flatnonzero(np.bincount(best[0], minlength=len(floors)) >= k)
         last = np.searchsorted(best[0], full, side="right") - 1
