@@ -146,14 +146,18 @@ class ChunkEncoder:
     def _learn(self, words: list[bytes]) -> None:
         model, rest, place = self.tokenizer.model, [], self.place
         for w in words:
-            text = w.decode()
-            if self.PLAIN.fullmatch(text) and (self.lower or text[0] != "\n"):
-                plain = text.strip().lower() if self.lower else text
-                self.flat.extend([t.id for t in model.tokenize("".join(map(BYTE_LETTERS.__getitem__, plain.encode())))])
-                place[w] = len(self.ends) - 1
-                self.ends.append(len(self.flat))
+            letters = w.lstrip(b" \n") if self.lower else w[w[:1] == b" " :]
+            if letters.isalpha():  # ASCII letters stand for themselves
+                plain = letters.decode().lower() if self.lower else ("\u0120" if len(letters) < len(w) else "") + letters.decode()
             else:
-                rest.append(w)
+                text = w.decode()
+                if not self.PLAIN.fullmatch(text) or (text[0] == "\n" and not self.lower):
+                    rest.append(w)
+                    continue
+                plain = "".join(map(BYTE_LETTERS.__getitem__, (text.strip().lower() if self.lower else text).encode()))
+            self.flat.extend([t.id for t in model.tokenize(plain)])
+            place[w] = len(self.ends) - 1
+            self.ends.append(len(self.flat))
         encoded = self.tokenizer.encode_batch_fast([w.decode() for w in rest], add_special_tokens=False)
         for w, e in zip(rest, encoded, strict=True):
             self.flat.extend(e.ids)

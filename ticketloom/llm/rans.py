@@ -152,7 +152,7 @@ def _with_ends(ids: np.ndarray, begins: np.ndarray, end_id: int) -> tuple[np.nda
 def _count_job(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
         total = np.zeros(0, np.int64)
-        for rows in slices(batches):
+        for rows in slices(batches, limit=16 << 20):
             seen = encoder(path).count(rows.column("text"))
             wide = max(len(seen), len(total), end_id + 1)
             total = np.pad(total, (0, wide - len(total))) + np.pad(seen, (0, wide - len(seen)))
