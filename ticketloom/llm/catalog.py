@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import packing, personal_data, positional_index, quality_ranking, rans, segment_search, shingle_join, token_counts, toxicity
+from ticketloom.llm import packing, personal_data, positional_index, quality_ranking, rans, segment_search, sentence_spans, shingle_join, token_counts, toxicity
 from ticketloom.llm.tables import documents, read_table
 
 QUERIES = {}
@@ -45,6 +45,11 @@ def packed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1, room=2048)
 
 
+@query("op4_sentence_spans")
+def documents_without_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentence_spans.without_repeats(documents(spark, sf_dir), run=3, min_words=8)
+
+
 @query("op5_quality")
 def quality_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_ranking.quality_scores(documents(spark, sf_dir), read_table(spark, sf_dir, "labels"), held_out_parts=5, cut=0.3)
