@@ -80,5 +80,6 @@ def without_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS)
     first = every.groupBy("span").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("span", "first")
     again = every.join(first, "span").where(~at.eqNullSafe(F.col("first")))
     places = materialize(again.groupBy("row").agg(F.collect_set("place").alias("places")), "repeated-spans")
-    marked = rows.join(places, "row", "left").select("doc_id", "text", "places")
+    # A merge join at every size: a broadcast that stops fitting would change the plan as tables grow.
+    marked = rows.join(places.hint("merge"), "row", "left").select("doc_id", "text", "places")
     return marked.mapInArrow(_drop_job(run), "doc_id long, n_sentences long, n_removed long, text string")
