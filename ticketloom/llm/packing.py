@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.arrays import encoder, slices
+from ticketloom.llm.arrays import encoder, slices, tidy, tidy_group
 from ticketloom.llm.rans import _with_ends
 from ticketloom.llm.tables import materialize, texts
 
@@ -89,7 +89,7 @@ def pieces(docs: DataFrame, path: str, end_id: int = 1, room: int = 2048, larges
     """The pieces of all documents with the crc32 of their ids; one pass, no shuffle."""
     if not 0 < largest <= room:
         raise ValueError("largest must lie between 1 and room")
-    return texts(docs).mapInArrow(_cut_job(path, end_id, room, largest), PIECES)
+    return texts(docs).mapInArrow(tidy(_cut_job(path, end_id, room, largest)), PIECES)
 
 
 def _pack_job(room: int) -> Callable[[pa.Table], pa.Table]:
@@ -112,4 +112,4 @@ def pack(docs: DataFrame, path: str, end_id: int = 1, room: int = 2048, largest:
     groups = max(1, math.ceil(cutting.count() / group_pieces))
     # Copies of a row differ in the random part; it comes from the row's place in the written table.
     dealt = cutting.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()), F.lit(groups)))
-    return dealt.groupBy("grp").applyInArrow(_pack_job(room), f"{PIECES}, sequence_id long, offset long")
+    return dealt.groupBy("grp").applyInArrow(tidy_group(_pack_job(room)), f"{PIECES}, sequence_id long, offset long")

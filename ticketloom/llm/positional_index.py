@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.arrays import binaries, distinct, gather, slices, utf8
+from ticketloom.llm.arrays import binaries, distinct, gather, slices, tidy, utf8
 from ticketloom.llm.tables import materialize, texts, without_ids
 
 BLOCK = "block long, doc_ids array<long>, n_words array<long>, terms array<binary>, counts binary, places binary"
@@ -77,7 +77,7 @@ def _index_job(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
 
 def build_index(docs: DataFrame, block_bytes: int = 4 << 20) -> DataFrame:
     """The index of every word of all documents, written to the shared folder; no shuffle."""
-    return materialize(texts(docs).mapInArrow(_index_job(block_bytes), BLOCK), "positions")
+    return materialize(texts(docs).mapInArrow(tidy(_index_job(block_bytes)), BLOCK), "positions")
 
 
 class Phrases:
@@ -237,7 +237,7 @@ def matches(index: DataFrame, benchmark: DataFrame, window: int = 10, near: tupl
     found = None
     for k in range(passes):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k) if passes > 1 else items
-        one = index.mapInArrow(_ask_job(Phrases(part.toArrow(), window), near), FOUND)
+        one = index.mapInArrow(tidy(_ask_job(Phrases(part.toArrow(), window), near)), FOUND)
         found = one if found is None else found.unionByName(one)
     return found.groupBy("block", "nth").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.arrays import binaries, distinct, gather, listed, slices, utf8
+from ticketloom.llm.arrays import binaries, distinct, gather, listed, slices, tidy, tidy_group, utf8
 from ticketloom.llm.tables import materialize, texts, without_ids
 
 WORDS = 5
@@ -245,9 +245,9 @@ def shared_sets(nodes: DataFrame, text_bytes: int) -> DataFrame:
     """``node, n, unique, grams`` of every node: its size, how many shingles it has alone, the ranks of the
     others in ascending order; ``grams`` is null where no link is possible."""
     parts = max(1, math.ceil(text_bytes / RANGE_BYTES))
-    packed = nodes.mapInArrow(_pack_job(parts), PACKED)
-    counted = packed.groupBy("part").applyInArrow(_count_range, "chunk long, kind int, payload binary")
-    return counted.groupBy("chunk").applyInArrow(_assemble(parts), NODE)
+    packed = nodes.mapInArrow(tidy(_pack_job(parts)), PACKED)
+    counted = packed.groupBy("part").applyInArrow(tidy_group(_count_range), "chunk long, kind int, payload binary")
+    return counted.groupBy("chunk").applyInArrow(tidy_group(_assemble(parts)), NODE)
 
 
 def _prefix_job() -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -294,7 +294,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, name: str) -> DataFrame:
     one = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("grams_a"))
     two = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("grams_b"))
     both = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "grams_a", "grams_b")
-    return materialize(both.mapInArrow(_verify_job(), "a binary, b binary"), name)
+    return materialize(both.mapInArrow(tidy(_verify_job()), "a binary, b binary"), name)
 
 
 def components(edges: DataFrame, name: str = "labels") -> DataFrame:
@@ -319,7 +319,7 @@ def components(edges: DataFrame, name: str = "labels") -> DataFrame:
 
 def linked_nodes(sets: DataFrame) -> DataFrame:
     """``node, label`` of the nodes that have a link."""
-    prefixes = materialize(sets.mapInArrow(_prefix_job(), "gram long, node binary, n long, unique long, at long, before array<long>"), "prefixes")
+    prefixes = materialize(sets.mapInArrow(tidy(_prefix_job()), "gram long, node binary, n long, unique long, at long, before array<long>"), "prefixes")
     # A shingle in the prefix of a single node joins nothing.
     wide = prefixes.groupBy("gram").agg(F.count("*").alias("nodes")).where("nodes > 1")
     prefixes = materialize(prefixes.join(wide, "gram"), "shared-prefixes")
