@@ -34,3 +34,43 @@ def test_repeats_equal_a_plain_loop(spark):
     assert rows(S.without_repeats(docs(spark, table)), "doc_id", "n_sentences", "n_removed", "text") == _plain(table)
     assert S.without_repeats(docs(spark)).count() == len(AWKWARD)
     assert S.without_repeats(docs(spark, [])).count() == 0
+
+
+def _shared(first, later, n=50):
+    """Runs of ``n`` words of the first text that the later one still holds."""
+    a, b = first.lower().split(), later.lower().split()
+    held = {tuple(b[k : k + n]) for k in range(len(b) - n + 1)}
+    return sum(tuple(a[k : k + n]) in held for k in range(len(a) - n + 1))
+
+
+def _sentences(seed, n, ends):
+    """``n`` words that are like no others, with a full stop behind those in ``ends``."""
+    return " ".join(f"w{seed}x{k}" + ("." if k in ends else "") for k in range(n))
+
+
+def test_passages_with_few_sentence_ends_go(spark):
+    table, n = [], 0
+    for size in (50, 63, 80):
+        for ends in range(5):
+            for shift in (0, 5):  # with 5 the ends lie anywhere, and no border is that of a sentence
+                passage = _sentences(f"p{n}", size, {(k + 1) * size // (ends + 1) - shift for k in range(ends)})
+                table += [(2 * n, f"{_sentences(f'a{n}', 40, {9})} {passage} {_sentences(f'b{n}', 40, {20})}"), (2 * n + 1, f"{_sentences(f'c{n}', 40, {20})}\n" * (not shift) + _sentences(f"d{n}", 30, ()) + f" {passage.upper()} {_sentences(f'e{n}', 40, {9})}")]
+                n += 1
+    got = {r["doc_id"]: r["text"] for r in S.without_repeats(docs(spark, table)).collect()}
+    for i, text in table:
+        if i % 2 == 0:
+            assert got[i] == text
+        else:
+            assert _shared(dict(table)[i - 1], text) and not _shared(dict(table)[i - 1], got[i]), text
+            assert {w for w in text.split() if w[0] in "cde"} <= set(got[i].split())  # nothing else goes
+
+
+def test_short_copies_and_single_long_sentences_go(spark):
+    lone, short = _sentences("s", 25, {24}), "Eight words are enough for a whole text"
+    table = [(1, short), (2, short.upper()), (3, f"{_sentences('f', 9, {8})} {lone} {_sentences('g', 9, {8})}"), (4, f"{_sentences('h', 9, {8})} {lone} {_sentences('i', 9, {8})}"), (5, "too short"), (6, "too short")]
+    table += [(7, " ".join(["again"] * 60)), (8, f"{short} and more")]
+    got = {r["doc_id"]: (r["n_sentences"], r["n_removed"], r["text"]) for r in S.without_repeats(docs(spark, table)).collect()}
+    assert got[1][2] == short and got[2] == (1, 1, "")
+    assert got[3][2] == table[2][1] and got[4] == (3, 1, f"{_sentences('h', 9, {8})} {_sentences('i', 9, {8})}")
+    assert got[5][2] == got[6][2] == "too short" and got[8][2] == f"{short} and more"
+    assert len(got[7][2].split()) >= S.WINDOW  # the first occurrence stays whole
