@@ -74,3 +74,23 @@ def test_short_copies_and_single_long_sentences_go(spark):
     assert got[3][2] == table[2][1] and got[4] == (3, 1, f"{_sentences('h', 9, {8})} {_sentences('i', 9, {8})}")
     assert got[5][2] == got[6][2] == "too short" and got[8][2] == f"{short} and more"
     assert len(got[7][2].split()) >= S.WINDOW  # the first occurrence stays whole
+
+
+def test_row_numbers_hold_when_the_input_is_split_anew(spark, tmp_path, monkeypatch):
+    path, key = str(tmp_path / "docs"), "spark.sql.files.maxPartitionBytes"
+    table = [(k, f"{_sentences(f'j{k}', 40, {9, 20, 39})} {_sentences('k', 60, {19, 39, 59})}") for k in range(40)]
+    docs(spark, table).repartition(4).write.parquet(path)
+    before, write = spark.conf.get(key), S.materialize
+
+    def then_split(df, name):
+        out = write(df, name)
+        if name == "repeated-spans":
+            spark.conf.set(key, "2000")
+        return out
+
+    monkeypatch.setattr(S, "materialize", then_split)
+    try:
+        got = {r["doc_id"]: r["text"] for r in S.without_repeats(spark.read.parquet(path)).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert got == {k: t if k == 0 else _sentences(f"j{k}", 40, {9, 20, 39}) + " " for k, t in table}

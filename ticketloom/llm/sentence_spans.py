@@ -162,7 +162,8 @@ def without_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS)
     A span's occurrences are counted in the tasks before they are shuffled; only spans that repeat are
     joined, where adaptive execution splits a frequent one.
     """
-    rows = texts(docs).withColumn("row", F.monotonically_increasing_id())
+    # Written once: the two jobs below must see the same row numbers, however the input is split or dealt then.
+    rows = materialize(texts(docs).withColumn("row", F.monotonically_increasing_id()), "span-rows")
     every = rows.mapInArrow(_spans_job(run, min_words), "doc_id long, row long, place int, span long")
     at = F.struct("doc_id", "row", "place")
     first = every.groupBy("span").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("span", "first")
