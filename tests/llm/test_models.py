@@ -66,6 +66,23 @@ def test_spaced_letters_are_one_token_besides():
     assert [words[c] for c, o in zip(codes, owner, strict=True) if o == 1] == [b"a", b" b"]
 
 
+@pytest.mark.parametrize("written", ["iddiot", "idiiot", "IDDIOTT"])
+def test_doubled_letters_are_restored(model, written):
+    assert toxicity.restore(written, model) == "idiot"
+
+
+@pytest.mark.parametrize("text", ["you met a s c u m b a g there", "s c u m b a g i d i o t", "a i d i o t m o r o n", "scumbag,idiot", "the\u00a0idiot\there", "the\tidiot", "i\u00a0d\u00a0i\u00a0o\u00a0t", "\u3000idiot\u2003x"])
+def test_words_behind_any_border_are_looked_up(model, text):
+    _, words, _ = toxicity.tokens(pa.array([text]))
+    found = {w for token in words for w in toxicity.readings(token.decode(), model)}
+    assert found & {"scumbag", "idiot", "moron"} >= {w for w in ("scumbag", "idiot", "moron") if w in "".join(text.split())}
+
+
+def test_a_letter_of_two_bytes_is_one_character():
+    _, words, _ = toxicity.tokens(pa.array(["c r é t i n"]))
+    assert "crétin".encode() in words
+
+
 def _fold(i, parts):
     return zlib.crc32(str(i).encode()) % parts
 

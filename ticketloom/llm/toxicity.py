@@ -7,9 +7,11 @@ over all documents.  Restored words are looked up in a lexicon learned from labe
 and beginnings of words that toxic documents use significantly more), and a logistic score of the
 share and the weight of such words is a document's toxicity.
 
-A token of letters without a run of three has one path, itself.  Tokens of digits or signs alone
-are no words.  A token over ``PART`` characters is restored in parts of that length.  Three or more
-single characters in a row are read as one spaced-out word besides.
+A token of letters without a doubled one has one path, itself; one with a doubled letter is read as written
+besides.  Tokens end at any white space.  Tokens of digits or signs alone are no words.  A token over ``PART``
+characters is restored in parts of that length.  Three or more single characters in a row are read as one
+spaced-out word besides, and as the words into which the letter model divides them; a token with signs inside
+also as the words between those signs that may be borders.  Every such word is looked up.
 
 A null or empty text has no words and gets the score of a document without toxic words.  Rows may
 repeat.  Without labels of both classes every score is 0.
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.arrays import binaries, chunk_cuts, distinct, listed, slices, utf8
+from ticketloom.llm.arrays import binaries, distinct, listed, slices, utf8
 from ticketloom.llm.learning import TRAIN_ROWS, bounded_sample, labelled, logistic, sigmoid
 from ticketloom.llm.tables import fold, materialize, texts
 
@@ -44,7 +46,8 @@ PREFIXES = range(3, 9)
 MIN_DOCS, MIN_Z, LARGEST_WEIGHT = 3, 4.0, 8.0
 # Marks around a word; a sign that looks like a letter may begin or end one.
 TRIM = re.compile(r"^([^\w])\1{2,}|^[^\w@$+|!€£¡§]+|([^\w])\2{2,}[^\w]*$|[^\w@$+]+$")
-RUN = re.compile(r"(.)\1\1")
+DOUBLED = re.compile(r"(.)\1")
+SPACED = "\x1f"  # before the characters of a spaced-out run that may be several words
 
 
 def _classes(data: np.ndarray) -> np.ndarray:
@@ -112,16 +115,26 @@ def _arcs(ch: str, before: str) -> list[tuple[str, float]]:
     return out
 
 
-def viterbi(token: str, model: LetterModel) -> str:
-    """The cheapest letters for a written token (lower case)."""
+def viterbi(token: str, model: LetterModel, borders: str = "") -> str:
+    """The cheapest letters for a written token (lower case).
+
+    With ``borders`` a space stands where a word ends: "signs" lets a sign be a border, "all" puts one before any character.
+    """
     cost = model.table
     layer = {(0, 0): (0.0, "", None)}  # last two classes: cost, letter, way back
     before = ""
     for ch in token:
         following: dict[tuple[int, int], tuple] = {}
-        for letter, price in _arcs(ch, before):
+        if borders == "all":
+            layer = _with_border(layer, cost)
+        arcs = _arcs(ch, before)
+        if borders == "signs" and not ch.isalnum():
+            arcs.append((" ", DROP_SIGN))
+        for letter, price in arcs:
             for state, way in layer.items():
-                if letter:
+                if letter == " ":
+                    new, total = (0, 0), way[0] + price + (cost[state[0]][state[1]][0] if state[1] else 0.0)
+                elif letter:
                     c = _class_of(letter)
                     new, total = (state[1], c), way[0] + price + cost[state[0]][state[1]][c]
                 else:
@@ -138,19 +151,41 @@ def viterbi(token: str, model: LetterModel) -> str:
     return "".join(reversed(out))
 
 
+def _with_border(layer: dict[tuple[int, int], tuple], cost: list) -> dict[tuple[int, int], tuple]:
+    """The layer and its cheapest way to end a word here."""
+    ends = [(way[0] + cost[a][b][0], " ", way) for (a, b), way in layer.items() if b]
+    best = min(ends, key=lambda x: x[0], default=None)
+    held = layer.get((0, 0))
+    return layer | {(0, 0): best} if best and (held is None or best[0] < held[0]) else layer
+
+
 def restore(token: str, model: LetterModel) -> str:
     """The word a written token stands for; "" if it is none."""
     token = token.strip().lower()
-    if token.isalpha() and not RUN.search(token):
+    if token.isalpha() and not DOUBLED.search(token):
         return token
     core = TRIM.sub("", token)
-    if core.isalpha() and not RUN.search(core):
+    if core.isalpha() and not DOUBLED.search(core):
         return core
     if not any(c.isalpha() for c in core):
         return ""
     return "".join(viterbi(core[a : a + PART], model) for a in range(0, len(core), PART))
 
 
+def readings(token: str, model: LetterModel) -> list[str]:
+    """All words to look up for a written token, each once."""
+    if token.startswith(SPACED):
+        return list(dict.fromkeys(viterbi(token[1:].lower(), model, "all").split()))
+    low = token.strip().lower()
+    core = low if low.isalpha() else TRIM.sub("", low)
+    out = [restore(token, model)]
+    if core.isalpha():
+        out.append(core)
+    elif out[0] and any(not c.isalnum() for c in core):
+        out.extend(w for a in range(0, len(core), PART) for w in viterbi(core[a : a + PART], model, "signs").split())
+    return list(dict.fromkeys(w for w in out if w))
+
+
 def parts_of(word: str) -> list[str]:
     """The word and its beginnings; a beginning has a mark behind it.  A single letter is no evidence."""
     if len(word) < 2:
@@ -158,17 +193,36 @@ def parts_of(word: str) -> list[str]:
     return [word] + [word[:k] + "*" for k in PREFIXES if k < len(word)]
 
 
+def _white(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 belong to white space."""
+    out = ((data >= 9) & (data <= 13)) | ((data >= 28) & (data <= 32))
+    if len(data) > 1 and data.max() >= 0xC2:
+        a, b = data[:-1], data[1:]
+        at = np.flatnonzero((a == 0xC2) & ((b == 0x85) | (b == 0xA0)))
+        out[at] = out[at + 1] = True
+        a, b, c = data[:-2], data[1:-1], data[2:]
+        wide = ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE2) & (b == 0x81) & (c == 0x9F)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
+        wide |= (a == 0xE2) & (b == 0x80) & ((c <= 0x8A) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))
+        at = np.flatnonzero(wide)
+        out[at] = out[at + 1] = out[at + 2] = True
+    return out
+
+
 def tokens(column: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     """Codes and distinct values of the white-space tokens of all texts, and each token's text."""
     data, offsets = utf8(column)
-    cuts = chunk_cuts(data, offsets)
+    white = _white(data)
+    mark = np.zeros(len(data) + 1, bool)
+    mark[1:-1] = white[1:] & ~white[:-1]
+    mark[offsets] = True
+    cuts = np.flatnonzero(mark)
     owner = np.repeat(np.arange(len(offsets) - 1), np.diff(np.searchsorted(cuts, offsets)))
-    solid = data > 32
+    solid = ~white & ((data & 0xC0) != 0x80)  # characters, not bytes
     before = np.concatenate(([0], np.cumsum(solid)))
     widths = np.diff(before[cuts])
     codes, values = distinct(binaries(data, cuts))
     words = listed(values)
-    # Runs of three or more tokens of one character within a text are one more token.
+    # Runs of three or more tokens of one character within a text are two more tokens: glued, and marked to be divided.
     single = np.flatnonzero(widths == 1)
     if len(single) > 2:
         starts = np.flatnonzero(np.concatenate(([True], (np.diff(single) != 1) | (owner[single][1:] != owner[single][:-1]))))
@@ -177,9 +231,11 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
         for a, b in zip(starts.tolist(), ends.tolist(), strict=True):
             if b - a > 2:
                 run = single[a:b]
-                words.append(bytes(x for x in data[cuts[run[0]] : cuts[run[-1] + 1]] if x > 32))
-                more_codes.append(len(words) - 1)
-                more_owner.append(owner[run[0]])
+                held = slice(cuts[run[0]], cuts[run[-1] + 1])
+                glued = data[held][~white[held]].tobytes()
+                words += [glued, SPACED.encode() + glued]
+                more_codes += [len(words) - 2, len(words) - 1]
+                more_owner += [owner[run[0]]] * 2
         if more_codes:
             codes, owner = np.concatenate((codes, more_codes)), np.concatenate((owner, more_owner))
             order = np.argsort(owner, kind="stable")
@@ -192,14 +248,19 @@ def _evidence_job(counts: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], It
 
     def run(batches):
         model = LetterModel(counts)
+        known: dict[bytes, set[str]] = {}
         sums: dict[str, list[float]] = defaultdict(lambda: [0, 0, 0.0, 0.0])
         for batch in batches:
+            if len(known) > 200_000:
+                known.clear()
             for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
                 codes, words, _ = tokens(pa.array([text]))
                 seen = np.bincount(codes, minlength=len(words)).tolist()
                 share: dict[str, float] = defaultdict(float)
                 for word, n in zip(words, seen, strict=True):
-                    for part in parts_of(restore(word.decode(errors="replace"), model)):
+                    if word not in known:
+                        known[word] = {p for w in readings(word.decode(errors="replace"), model) for p in parts_of(w)}
+                    for part in known[word]:
                         share[part] += n / len(codes)
                 for part, s in share.items():
                     held = sums[part]
@@ -232,8 +293,7 @@ class Scorer:
         self.words, self.model, self.held, self.known = words, LetterModel(counts), held, {}
 
     def weight(self, token: bytes) -> float:
-        word = restore(token.decode(errors="replace"), self.model)
-        return max((self.words.get(p, 0.0) for p in parts_of(word)), default=0.0) if word else 0.0
+        return max((self.words.get(p, 0.0) for w in readings(token.decode(errors="replace"), self.model) for p in parts_of(w)), default=0.0)
 
     def evidence(self, column: pa.Array) -> np.ndarray:
         """For each text the mean weight of its words, a concave form of it, and the weight of its distinct toxic words."""
