@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import packing, personal_data, positional_index, quality_ranking, rans, segment_search, sentence_spans, shingle_join, token_counts, toxicity
+from ticketloom.llm import collocations, packing, personal_data, positional_index, quality_ranking, rans, segment_search, sentence_spans, shingle_join, token_counts, toxicity
 from ticketloom.llm.tables import documents, read_table
 
 QUERIES = {}
@@ -106,6 +106,25 @@ def joined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.near_duplicates(documents(spark, sf_dir))
 
 
+@query(
+    "op13_collocations",
+    r"""WITH t AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM (SELECT lang, unnest(string_split_regex(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)),
+f AS (SELECT lang, m, w[i:i + m - 1] AS words, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS f FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m) GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, words, phrase, f AS a FROM f WHERE m > 1 AND f >= 100),
+cut AS (SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r, n, CAST((1000::HUGEINT * a * n) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c JOIN f l ON l.lang = c.lang AND l.m = k AND l.words = c.words[1:k]
+  JOIN f r ON r.lang = c.lang AND r.m = c.m - k AND r.words = c.words[k + 1:] JOIN n ON n.lang = c.lang),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inside AS (SELECT DISTINCT lang, array_to_string(words[i:i + s - 1], ' ') AS phrase, a FROM (SELECT *, unnest(range(1, m - s + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS s FROM c WHERE m > 2))),
+free AS (SELECT best.* FROM best LEFT JOIN inside USING (lang, phrase, a) WHERE inside.phrase IS NULL)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score FROM free QUALIFY rank <= 2000""",
+)
+def collocations_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir), longest=5, min_count=100, keep=2000)
+
+
 def queries():
     return dict(QUERIES)
 
