@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ticketloom.llm import collocations, grouped_packing, packing, personal_data, positional_index, quality_ranking, rans, segment_search, sentence_spans, shingle_join, token_counts, toxicity
+from ticketloom.llm import collocations, grouped_packing, packing, periodic_runs, personal_data, positional_index, quality_ranking, rans, segment_search, sentence_spans, shingle_join, token_counts, toxicity
 from ticketloom.llm.tables import documents, read_table
 
 QUERIES = {}
@@ -106,6 +106,11 @@ def joined_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shingle_join.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op11_periodic_runs")
+def periodic_runs_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.digest(periodic_runs.find_runs(periodic_runs.periodic_tails(documents(spark, sf_dir))))
+
+
 @query("op12_grouped_packing")
 def packed_by_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped_packing.pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, room=1024)
