@@ -94,3 +94,26 @@ def test_row_numbers_hold_when_the_input_is_split_anew(spark, tmp_path, monkeypa
     finally:
         spark.conf.set(key, before)
     assert got == {k: t if k == 0 else _sentences(f"j{k}", 40, {9, 20, 39}) + " " for k, t in table}
+
+
+def test_long_runs_of_blanks_and_signs(spark):
+    words = _sentences("q", 60, {9, 20, 39})
+    table = [(1, words), (2, f"{' ' * 200_000}{words}\n{' ' * 200_000}x{'!' * 50_000}y"), (3, words + " " * 200_000)]
+    got = {r["doc_id"]: r["text"] for r in S.without_repeats(docs(spark, table)).collect()}
+    assert got[1] == words and got[3] == "" and got[2].split() == ["x" + "!" * 50_000 + "y"]
+
+
+def test_marks_hold_every_key_and_few_others(spark):
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    keys = [*rng.integers(-(2**62), 2**62, 3000).tolist(), 0, -1, 32767, 32768, (1 << 26) - 1, 1 << 26]
+    from ticketloom.llm import marks as M
+
+    held = M.marks(spark.createDataFrame([(k,) for k in keys], "k long"), "k")
+    batch = pa.RecordBatch.from_arrays([pa.array(keys + rng.integers(-(2**62), 2**62, 3000).tolist())], ["k"])
+    near = {k % (1 << 26) for k in keys}
+    for wanted in (True, False):
+        got = next(M.marked_job("k", held, wanted)(iter([batch]))).column("k").to_pylist()
+        assert got == [k for k in batch.column("k").to_pylist() if (k % (1 << 26) in near) == wanted]

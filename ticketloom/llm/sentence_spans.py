@@ -26,12 +26,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticketloom.llm.arrays import slices
+from ticketloom.llm.arrays import ArrowJob, slices, tidy
+from ticketloom.llm.marks import marked_job, marks
 from ticketloom.llm.tables import materialize, texts
+from ticketloom.scale import hot_keys, salted_join
 
 RUN, MIN_WORDS, WINDOW = 3, 8, 25
 # A place is a sentence's or, of a window, a word's number, and above it the sentences in the run, 0 for a window.
 KIND = 1 << 28
+SPANS = "doc_id long, row long, place int, span long"
 WHOLE = 8  # seed of a whole text's hash; a run's is its sentences
 
 
@@ -113,6 +116,12 @@ def spans(text: str, run: int = RUN, min_words: int = MIN_WORDS) -> list[tuple[i
     return out
 
 
+def _words_with_blanks(sentence: str) -> list[str]:
+    """The words with the white space behind them, the first also with what is before it; none if there is no word."""
+    begins = [m.start() for m in re.finditer(r"\S+", sentence)]
+    return [sentence[a:b] for a, b in zip([0, *begins[1:]], [*begins[1:], len(sentence)], strict=True)] if begins else []
+
+
 def without(text: str, places: list[int], min_words: int = MIN_WORDS) -> tuple[int, int, str]:
     """The number of sentences, that of sentences wholly gone, and the text without the repeated spans."""
     held = sentences(text)
@@ -120,7 +129,7 @@ def without(text: str, places: list[int], min_words: int = MIN_WORDS) -> tuple[i
     starts = [p for p in places if p < KIND]
     if not starts:
         return len(held), len(bad), "".join(s for k, s in enumerate(held) if k not in bad) if bad else text
-    pieces = [re.findall(r"\s*\S+\s*", s) for s in held]
+    pieces = [_words_with_blanks(s) for s in held]
     owner = np.repeat(np.arange(len(held)), [len(p) for p in pieces])
     gone = np.zeros(len(owner), bool)
     for p in starts:
@@ -159,18 +168,25 @@ def _drop_job(min_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def without_repeats(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, n_sentences, n_removed, text`` of every row, the text without its repeated spans.
 
-    A span's occurrences are counted in the tasks before they are shuffled; only spans that repeat are
-    joined, where adaptive execution splits a frequent one.
+    Texts are hashed once; the spans are written.  Counting them shuffles their hashes alone.  A bitmap of
+    fixed size then drops, before the join, the spans that do not repeat and, at the end, the texts that
+    lose nothing; what it lets through by chance falls out in the joins.  A span with many occurrences is
+    joined in several tasks.
     """
     # Written once: the two jobs below must see the same row numbers, however the input is split or dealt then.
     rows = materialize(texts(docs).withColumn("row", F.monotonically_increasing_id()), "span-rows")
-    every = rows.mapInArrow(_spans_job(run, min_words), "doc_id long, row long, place int, span long")
+    every = materialize(rows.mapInArrow(tidy(_spans_job(run, min_words)), SPANS), "spans")
+    counted = materialize(every.groupBy("span").agg(F.count("*").alias("n")).where("n > 1"), "span-counts")
+    again = materialize(every.mapInArrow(marked_job("span", marks(counted, "span")), SPANS), "again-spans")
     at = F.struct("doc_id", "row", "place")
-    first = every.groupBy("span").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("span", "first")
-    again = every.join(first, "span").where(~at.eqNullSafe(F.col("first")))
+    first = again.groupBy("span").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1").select("span", "first")
+    again = salted_join(again, first, "span", hot_keys(counted, "span", "n"), F.col("row"), how="inner").where(~at.eqNullSafe(F.col("first")))
     # A window that overlaps its own first occurrence would cut into the copy that stays.
     again = again.where((F.col("place") >= KIND) | (F.col("row") != F.col("first.row")) | (F.col("place") >= F.col("first.place") + WINDOW))
     places = materialize(again.groupBy("row").agg(F.collect_set("place").alias("places")), "repeated-spans")
+    held, whole = marks(places, "row"), "doc_id long, n_sentences long, n_removed long, text string"
+    same = rows.mapInArrow(marked_job("row", held, wanted=False), rows.schema).withColumn("places", F.lit(None).cast("array<int>"))
     # A merge join at every size: a broadcast that stops fitting would change the plan as tables grow.
-    marked = rows.join(places.hint("merge"), "row", "left").select("doc_id", "text", "places")
-    return marked.mapInArrow(_drop_job(min_words), "doc_id long, n_sentences long, n_removed long, text string")
+    changed = rows.mapInArrow(marked_job("row", held), rows.schema).join(places.hint("merge"), "row", "left")
+    columns = ["doc_id", "text", "places"]
+    return same.select(columns).unionByName(changed.select(columns)).mapInArrow(tidy(_drop_job(min_words)), whole)

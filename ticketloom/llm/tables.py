@@ -15,8 +15,21 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents")
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Rows of whole texts reach Python a thousand at a time, not ten thousand, unless the session sets a number itself.
+
+    A batch is held by the JVM and by Python at once, and both count for the executor.
+    """
+    if spark.conf.get(BATCH_ROWS) == "10000":
+        spark.conf.set(BATCH_ROWS, str(rows))
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """``doc_id`` and ``text`` alone, so that no other column can clash; a null text is empty."""
+    small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 
