@@ -149,3 +149,19 @@ def test_quality_on_held_out_rows(spark):
     kept = quality_ranking.keep_good(docs(spark, table), labels(spark, "quality", truth))
     assert kept.columns == docs(spark).columns
     assert {r[0] for r in rows(kept, "doc_id")} == {i for i, _ in table if by_id[i]["predicted"]} or kept.count() >= 390
+
+
+def test_trimming_is_linear_and_takes_marks_alone():
+    import random
+    import re
+
+    from ticketloom.llm import toxicity
+
+    plain = re.compile(r"^([^\w])\1{2,}|^[^\w@$+|!€£¡§]+|([^\w])\2{2,}[^\w]*$|[^\w@$+]+$")
+    rng = random.Random(3)
+    for _ in range(20_000):
+        token = "".join(rng.choice("ab_1!!@$+.,.€") for _ in range(rng.randrange(9)))
+        assert toxicity.trimmed(token) == plain.sub("", token), token
+    for sign in "!@$+|.,€_-":
+        long = "a" + sign * 50_000 + "b"
+        assert toxicity.trimmed(long) == long and toxicity.trimmed(sign * 50_000) in ("", sign * 50_000)

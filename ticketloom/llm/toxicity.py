@@ -44,8 +44,8 @@ PART = 64
 LEXICON = 20_000
 PREFIXES = range(3, 9)
 MIN_DOCS, MIN_Z, LARGEST_WEIGHT = 3, 4.0, 8.0
-# Marks around a word; a sign that looks like a letter may begin or end one.
-TRIM = re.compile(r"^([^\w])\1{2,}|^[^\w@$+|!€£¡§]+|([^\w])\2{2,}[^\w]*$|[^\w@$+]+$")
+# Signs that may begin and end a word, as they look like letters.
+BEGINS, ENDS = frozenset("@$+|!€£¡§"), frozenset("@$+")
 DOUBLED = re.compile(r"(.)\1")
 SPACED = "\x1f"  # before the characters of a spaced-out run that may be several words
 
@@ -159,12 +159,32 @@ def _with_border(layer: dict[tuple[int, int], tuple], cost: list) -> dict[tuple[
     return layer | {(0, 0): best} if best and (held is None or best[0] < held[0]) else layer
 
 
+def _sign(c: str) -> bool:
+    return not c.isalnum() and c != "_"
+
+
+def trimmed(token: str) -> str:
+    """The token without the marks around it: at either end three or more of one sign, or signs that are no letters."""
+    n, begin = len(token), 0
+    if n and _sign(token[0]):
+        begin = n - len(token.lstrip(token[0]))
+        if begin < 3:
+            begin = next((k for k, c in enumerate(token) if not _sign(c) or c in BEGINS), n)
+    end = n
+    while end > begin and _sign(token[end - 1]):
+        end -= 1
+    cut = n
+    while cut > end and token[cut - 1] not in ENDS:
+        cut -= 1
+    return token[begin : next((k for k in range(end, min(cut, n - 2)) if token[k] == token[k + 1] == token[k + 2]), cut)]
+
+
 def restore(token: str, model: LetterModel) -> str:
     """The word a written token stands for; "" if it is none."""
     token = token.strip().lower()
     if token.isalpha() and not DOUBLED.search(token):
         return token
-    core = TRIM.sub("", token)
+    core = trimmed(token)
     if core.isalpha() and not DOUBLED.search(core):
         return core
     if not any(c.isalpha() for c in core):
@@ -177,7 +197,7 @@ def readings(token: str, model: LetterModel) -> list[str]:
     if token.startswith(SPACED):
         return list(dict.fromkeys(viterbi(token[1:].lower(), model, "all").split()))
     low = token.strip().lower()
-    core = low if low.isalpha() else TRIM.sub("", low)
+    core = low if low.isalpha() else trimmed(low)
     out = [restore(token, model)]
     if core.isalpha():
         out.append(core)
@@ -326,7 +346,7 @@ def _evidence_of(key: str, words: dict[str, float], counts: np.ndarray) -> Score
 def _score_job(key: str, words: dict[str, float], counts: np.ndarray, fitted: np.ndarray | None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
         scorer = _evidence_of(key, words, counts)
-        for rows in slices(batches):
+        for rows in slices(batches, limit=2 << 20):
             x = scorer.evidence(rows.column("text"))
             if fitted is None:
                 packed = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
@@ -348,7 +368,9 @@ def toxicity(docs: DataFrame, labels: DataFrame, held_out_parts: int = 3, held_o
     rows = texts(docs)
     chosen = bounded_sample(labelled(labels, "toxic").where(fold("doc_id", held_out_parts) != held_out_part), train_rows).toArrow()
     sample = docs.sparkSession.createDataFrame(chosen, "doc_id long, label int")  # bounded by train_rows
-    known = rows.join(F.broadcast(sample), "doc_id").withColumn("digest", F.md5("text")).dropDuplicates(["digest"])
+    known = rows.join(F.broadcast(sample), "doc_id").groupBy(F.md5("text").alias("digest")).agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"), F.min("label").alias("label"), F.max("label").alias("_most"))
+    # Equal texts teach once, under their least id, and not at all if their labels disagree.
+    known = known.where("label = _most").drop("_most")
     known = materialize(known.withColumn("part", F.pmod(F.xxhash64("digest"), F.lit(4))).drop("digest"), "toxic-sample")
     sizes = {r["label"]: r["n"] for r in known.where("part > 0").groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not sizes.get(0) or not sizes.get(1):
