@@ -1,4 +1,3 @@
-import pytest
 from pyspark.sql import functions as F
 
 from ticketloom.operators import metrics as M
@@ -75,6 +74,6 @@ def test_published_delta(spark):
     assert (row["delta"], row["delta_pct"]) == (-0.0088, -1.2)
 
 
-def test_too_many_labels(spark):
-    with pytest.raises(ValueError):
-        M.label_list(spark.range(20).select(F.col("id").cast("string").alias("queue")), limit=10)
+def test_every_label_is_listed_once_in_order(spark):
+    rows = spark.range(40_000).select(F.when(F.col("id") > 0, F.concat(F.lit("q"), F.col("id") % 20_000)).alias("queue"))
+    assert M.label_list(rows) == sorted(f"q{k}" for k in range(20_000))

@@ -7,7 +7,7 @@ only thing sent to every task.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,9 +18,11 @@ from pyspark.sql import types as T
 
 from ticketloom.functions import text as X
 from ticketloom.functions import vectors as V
-from ticketloom.scale import materialize
+from ticketloom.scale import bounded_broadcast, materialize, scratch_path
 from ticketloom.settings import DEFAULTS
 
+BROADCAST_TERMS = 200_000  # a larger vocabulary is joined, not broadcast
+
 
 def term_counts(docs: DataFrame, text_col: str, id_col: str = "ticket_id", bigrams: bool = True) -> DataFrame:
     """id, term, tf: words of two or more characters and, optionally, pairs of neighbouring words."""
@@ -48,13 +50,14 @@ def vocabulary(
     bigrams: bool = True,
     min_df: int = DEFAULTS.min_df,
     max_features: int = DEFAULTS.max_features,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """term, idx, df, cf, idf of the ``max_features`` most frequent terms in at least ``min_df``
     documents; ties by term, index in term order."""
     total = docs.agg(F.count(F.lit(1))).scalar()
+    counted = counts if counts is not None else term_counts(docs, text_col, id_col, bigrams)
     kept = (
-        term_counts(docs, text_col, id_col, bigrams)
-        .groupBy("term")
+        counted.groupBy("term")
         .agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"))
         .where(F.col("df") >= min_df)
         .orderBy(F.desc("cf"), "term")
@@ -70,6 +73,12 @@ def vocabulary(
     )
 
 
+def stored_counts(docs: DataFrame, text_col: str, keep: Sequence[str] = (), id_col: str = "ticket_id", bigrams: bool = True) -> DataFrame:
+    """id, ``keep``, term, tf written once, for vocabularies and vectors of several parts of one corpus."""
+    counts = term_counts(docs, text_col, id_col, bigrams)
+    return materialize(counts.join(docs.select(id_col, *keep), id_col) if keep else counts, "term-counts")
+
+
 @dataclass(frozen=True)
 class Tfidf:
     """A fitted vocabulary and the text settings it was fitted with."""
@@ -79,21 +88,24 @@ class Tfidf:
     id_col: str
     bigrams: bool
 
-    def weights(self, docs: DataFrame) -> DataFrame:
-        """id, term, idx, weight with unit length per document; unknown terms drop out."""
-        known = F.broadcast(self.terms.select("term", "idx", "idf"))  # at most max_features rows
+    def weights(self, docs: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+        """id, term, idx, weight with unit length per document; unknown terms drop out.
+
+        ``counts`` are the documents' stored term counts, where they are there already.
+        """
+        known = bounded_broadcast(self.terms.select("term", "idx", "idf"), BROADCAST_TERMS)
+        counted = counts if counts is not None else term_counts(docs, self.text_col, self.id_col, self.bigrams)
         raw = (
-            term_counts(docs, self.text_col, self.id_col, self.bigrams)
-            .join(known, "term")
+            counted.join(known, "term")
             .select(self.id_col, "term", "idx", (sublinear(F.col("tf")) * F.col("idf")).alias("_w"))
         )
         length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(self.id_col)))
         return raw.select(self.id_col, "term", "idx", (F.col("_w") / length).alias("weight"))
 
-    def vectors(self, docs: DataFrame, out_col: str = "features") -> DataFrame:
+    def vectors(self, docs: DataFrame, out_col: str = "features", counts: DataFrame | None = None) -> DataFrame:
         """``docs`` with a sparse ML vector as wide as the vocabulary; a document without known terms has the empty one."""
         entries = (
-            self.weights(docs)
+            self.weights(docs, counts)
             .groupBy(self.id_col)
             .agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("_entries"))
         )
@@ -107,21 +119,33 @@ def fit_tfidf(
     bigrams: bool = True,
     min_df: int = DEFAULTS.min_df,
     max_features: int = DEFAULTS.max_features,
+    counts: DataFrame | None = None,
 ) -> Tfidf:
     """Vocabulary and IDF from the training documents alone, written once for all that use them."""
-    terms = materialize(vocabulary(train, text_col, id_col, bigrams, min_df, max_features), "vocabulary")
+    terms = materialize(vocabulary(train, text_col, id_col, bigrams, min_df, max_features, counts), "vocabulary")
     return Tfidf(terms, text_col, id_col, bigrams)
 
 
 def sparse_vectors(df: DataFrame, entries_col: str, size: int, out_col: str) -> DataFrame:
-    """Replace an array of (idx, weight) by the ML vector type; null becomes the empty vector."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    """Replace an array of (idx, weight) by the ML vector type; null becomes the empty vector.
 
-    @F.udf(VectorUDT())
-    def build(entries):
-        return SparseVector(size, [e[0] for e in entries or ()], [e[1] for e in entries or ()])
-
-    return df.withColumn(out_col, build(F.col(entries_col))).drop(entries_col)
+    The struct behind the vector type is put together by expressions and written; reading it back
+    under a schema with the vector type makes it one.  No row passes through Python.
+    """
+    from pyspark.ml.linalg import VectorUDT
+
+    entries = F.coalesce(F.col(entries_col), F.array().cast("array<struct<idx:int,weight:double>>"))
+    packed = F.struct(
+        F.lit(0).cast("byte").alias("type"),
+        F.lit(size).cast("int").alias("size"),
+        F.transform(entries, lambda e: e["idx"].cast("int")).alias("indices"),
+        F.transform(entries, lambda e: e["weight"].cast("double")).alias("values"),
+    )
+    flat = df.withColumn(out_col, packed).drop(entries_col)
+    path = scratch_path(df.sparkSession, "vectors")
+    flat.write.parquet(path)
+    fields = [T.StructField(f.name, VectorUDT()) if f.name == out_col else f for f in flat.schema.fields]
+    return df.sparkSession.read.schema(T.StructType(fields)).parquet(path)
 
 
 def dense_vectors(df: DataFrame, vec_col: str = "embedding", out_col: str = "features") -> DataFrame:
