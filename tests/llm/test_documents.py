@@ -59,6 +59,26 @@ def test_components_equal_all_pairs(spark, monkeypatch):
     assert rows(kept, "doc_id") == sorted(((i,) for i, _, c in want if i == c or i is None), key=repr) and kept.columns == docs(spark).columns
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c = prose(810, 60), prose(811, 60), prose(812, 60)
+    table = [(1, a), (2, a), (2, b), (5, c), (5, c), (None, c + " psi"), (None, prose(813, 60)), (None, prose(813, 60)), (None, None), (7, ""), (7, ""), (8, None)]
+    kept = shingle_join.keep_one(docs(spark, table))
+    want = [(1, a), (2, b), (5, c), (None, prose(813, 60)), (None, None), (7, ""), (7, ""), (8, None)]
+    assert rows(kept, "doc_id", "text") == sorted(want, key=repr) and kept.columns == docs(spark).columns
+    assert shingle_join.keep_one(docs(spark, [])).count() == 0
+
+
+def test_payload_does_not_grow_with_the_ranges(monkeypatch):
+    import pyarrow as pa
+    import pyspark
+
+    monkeypatch.setattr(pyspark.TaskContext, "get", classmethod(lambda cls: type("Here", (), {"partitionId": lambda self: 0})()))
+
+    nodes = pa.RecordBatch.from_arrays([pa.array([k.to_bytes(16, "big") for k in range(300)]), pa.array([prose(k, 200) for k in range(300)])], ["node", "text"])
+    one, many = (sum(b.column("payload").nbytes - 4 * b.num_rows for b in shingle_join._pack_job(parts)(iter([nodes]))) for parts in (10, 1000))
+    assert abs(many - one) < 0.1 * one
+
+
 def test_nothing_to_join(spark):
     assert shingle_join.near_duplicates(docs(spark, [])).count() == 0
     assert rows(shingle_join.near_duplicates(docs(spark, [(1, None), (2, "")])), "doc_id", "n_shingles", "component_id") == [(1, 0, 1), (2, 0, 2)]

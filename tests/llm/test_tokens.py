@@ -25,6 +25,9 @@ def test_chunks_give_the_librarys_ids(name):
     for k, text in enumerate(TEXTS):
         assert ids[begins[k] : begins[k + 1]].tolist() == plain.encode(text or "", add_special_tokens=False).ids
     assert np.array_equal(arrays.ChunkEncoder(path).count(arrow(TEXTS)), np.bincount(ids))
+    small = arrays.ChunkEncoder(path, held=20)  # chunks are dropped and come back
+    for _ in range(2):
+        assert [small.encode(arrow([t]))[0].tolist() for t in TEXTS] == [plain.encode(t or "", add_special_tokens=False).ids for t in TEXTS]
 
 
 def test_slices_keep_every_row():

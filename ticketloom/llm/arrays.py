@@ -23,10 +23,18 @@ def give_back() -> None:
         trim(0)
 
 
+def map_large() -> None:
+    """Let arrays of a megabyte and more be mapped on their own, so that they go back to the system when freed."""
+    tune = getattr(ctypes.CDLL(None), "mallopt", None)
+    if tune:
+        tune(-3, 1 << 20)  # M_MMAP_THRESHOLD; once set it no longer moves
+
+
 def tidy(job: ArrowJob) -> ArrowJob:
     """A job for ``mapInArrow`` that gives freed memory back when its partition is done."""
 
     def run(batches):
+        map_large()
         try:
             yield from job(batches)
         finally:
@@ -39,6 +47,7 @@ def tidy_group(job: Callable[[pa.Table], pa.Table]) -> Callable[[pa.Table], pa.T
     """A job for ``applyInArrow`` that gives freed memory back when its group is done."""
 
     def run(table: pa.Table) -> pa.Table:
+        map_large()
         try:
             return job(table)
         finally:
@@ -161,25 +170,34 @@ class ChunkEncoder:
     Both JSON vocabularies split texts into pre-tokens first, and each cut used here is a border of
     pre-tokens, so joining the chunks' ids gives the ids of the text.  A chunk that is one run of
     Latin-1 letters (and one space before it) is one pre-token: it goes to the model directly.
-    ``lower`` says that the vocabulary folds case and drops white space.
+    ``lower`` says that the vocabulary folds case and drops white space.  Twice ``held`` chunks are kept at most: those
+    since the last turn, and those of the turn before, from which frequent ones come back.
     """
 
     PLAIN = re.compile("[ \n]?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
 
-    def __init__(self, path: str, held: int = 600_000):
+    def __init__(self, path: str, held: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.lower = "Lowercase" in str(self.tokenizer.normalizer)
         self.held = held
         self._forget()
+        self.before = ({}, array("I"), array("q", [0]))
 
     def _forget(self) -> None:
         self.place, self.flat, self.ends = {}, array("I"), array("q", [0])
 
     def _learn(self, words: list[bytes]) -> None:
         model, rest, place = self.tokenizer.model, [], self.place
+        known, flat, ends = self.before
         for w in words:
+            if w in known:  # what came again since the last turn stays
+                k = known[w]
+                self.flat.extend(flat[ends[k] : ends[k + 1]])
+                place[w] = len(self.ends) - 1
+                self.ends.append(len(self.flat))
+                continue
             letters = w.lstrip(b" \n") if self.lower else w[w[:1] == b" " :]
             if letters.isalpha():  # ASCII letters stand for themselves
                 plain = letters.decode().lower() if self.lower else ("\u0120" if len(letters) < len(w) else "") + letters.decode()
@@ -210,6 +228,7 @@ class ChunkEncoder:
         codes, values = distinct(binaries(data, cuts))
         words = listed(values)
         if len(self.place) > self.held:
+            self.before = (self.place, self.flat, self.ends)
             self._forget()
         self._learn([w for w in words if w not in self.place])
         return codes, np.fromiter(map(self.place.__getitem__, words), np.int64, len(words)), cuts, offsets

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketloom.llm.arrays import ArrowJob, binaries, distinct, gather, listed, slices, tidy, utf8
-from ticketloom.llm.tables import materialize
+from ticketloom.llm.tables import materialize, small_batches
 
 LONGEST = 5
 MIN_COUNT = 100
@@ -144,6 +144,7 @@ def _window_job(longest: int, frequent: np.ndarray | None) -> ArrowJob:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
+    small_batches(docs.sparkSession)
     return docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
 
 

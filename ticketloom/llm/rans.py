@@ -10,22 +10,23 @@ and ``block`` give the order, ``doc_ids`` and ``lengths`` the documents in it, `
 ids.  Beside it lies the table of frequencies.
 
 A null text counts as empty and has its end id alone.  Null ids come first; rows that share an id
-lie in the order of their texts.  An empty table gives no block.
+lie in the order of their first ``HEAD`` characters, then of a digest.  An empty table gives no block.
 """
 
 from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ticketloom.llm.arrays import encoder, slices
-from ticketloom.llm.tables import scratch_path, texts
+from ticketloom.llm.arrays import ArrowJob, binaries, encoder, slices, tidy
+from ticketloom.llm.tables import materialize, scratch_path, texts
 
 BITS = 16
 TOTAL = 1 << BITS
@@ -35,6 +36,8 @@ MARK_STEPS = 128
 BLOCK_IDS = 1 << 19
 MAGIC = b"TLR1"
 HEADER = struct.Struct("<4sIIQQI")  # magic, lanes, steps between checkpoints, ids, words, checkpoints
+HEAD = 16
+ID_ROWS = "doc_id long, head string, digest long, wide int, ids binary"
 BLOCKS = "shard int, block int, n_ids long, doc_ids array<long>, lengths array<long>, payload binary"
 
 
@@ -149,27 +152,48 @@ def _with_ends(ids: np.ndarray, begins: np.ndarray, end_id: int) -> tuple[np.nda
     return np.insert(ids, begins[1:], end_id), np.diff(begins) + 1
 
 
-def _count_job(path: str, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _ids_job(path: str, end_id: int) -> ArrowJob:
+    """Each document's ids, end id included, as bytes: two for each id, or four (``wide``) where one needs more."""
+
+    def run(batches):
+        for rows in slices(batches, limit=2 << 20):
+            ids, lengths = _with_ends(*encoder(path).encode(rows.column("text")), end_id)
+            wide = int(ids.max(initial=0) >= 1 << 16)
+            raw = ids.astype("<u4" if wide else "<u2")
+            cuts = np.concatenate(([0], np.cumsum(lengths))) * raw.itemsize
+            held = binaries(raw.view(np.uint8), cuts).cast(pa.binary())
+            kept = [rows.column(c) for c in ("doc_id", "head", "digest")]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(np.full(rows.num_rows, wide, np.int32)), held], ["doc_id", "head", "digest", "wide", "ids"])
+
+    return run
+
+
+def _held_ids(rows: pa.RecordBatch) -> Iterator[tuple[np.ndarray, pa.RecordBatch]]:
+    """The ids of a batch, and its rows; rows of two and of four bytes come apart, in order."""
+    wide = rows.column("wide").to_numpy()
+    borders = [0, *(np.flatnonzero(np.diff(wide)) + 1).tolist(), rows.num_rows]
+    for a, b in zip(borders, borders[1:], strict=False):
+        if a < b:
+            part = rows.slice(a, b - a)
+            raw = b"".join(part.column("ids").to_pylist())
+            yield np.frombuffer(raw, "<u4" if wide[a] else "<u2").astype(np.uint32), part
+
+
+def _count_job() -> ArrowJob:
     def run(batches):
         total = np.zeros(0, np.int64)
-        for rows in slices(batches, limit=16 << 20):
-            seen = encoder(path).count(rows.column("text"))
-            wide = max(len(seen), len(total), end_id + 1)
-            total = np.pad(total, (0, wide - len(total))) + np.pad(seen, (0, wide - len(seen)))
-            total[end_id] += rows.num_rows
+        for rows in batches:
+            for ids, _ in _held_ids(rows):
+                seen = np.bincount(ids)
+                size = max(len(seen), len(total))
+                total = np.pad(total, (0, size - len(total))) + np.pad(seen, (0, size - len(seen)))
         hit = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int32()), pa.array(total[hit], pa.int64())], ["symbol", "n"])
 
     return run
 
 
-def count_ids(docs: DataFrame, path: str, end_id: int = 0) -> DataFrame:
-    """How often each id occurs in all documents, end ids included; one row for each id and task is shuffled."""
-    seen = texts(docs).select("text").mapInArrow(_count_job(path, end_id), "symbol int, n long")
-    return seen.groupBy("symbol").agg(F.sum("n").alias("n"))
-
-
-def _encode_job(path: str, end_id: int, table: Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _encode_job(table: Table) -> ArrowJob:
     def run(batches):
         from pyspark import TaskContext
 
@@ -186,13 +210,15 @@ def _encode_job(path: str, end_id: int, table: Table) -> Callable[[Iterator[pa.R
                 ["shard", "block", "n_ids", "doc_ids", "lengths", "payload"],
             )
 
-        for rows in slices(batches, limit=4 << 20):
-            ids, lengths = _with_ends(*encoder(path).encode(rows.column("text")), end_id)
-            held.append((ids, lengths, rows.column("doc_id").to_pylist()))
-            size += len(ids)
-            if size >= BLOCK_IDS:
-                yield flush()
-                held, size, block = [], 0, block + 1
+        for batch in batches:
+            for rows in slices([batch], column="ids", limit=1 << 20):
+                for ids, part in _held_ids(rows):
+                    sizes = pc.binary_length(part.column("ids")).to_numpy() // (4 if part.column("wide")[0].as_py() else 2)
+                    held.append((ids, sizes.astype(np.int64), part.column("doc_id").to_pylist()))
+                    size += len(ids)
+                    if size >= BLOCK_IDS:
+                        yield flush()
+                        held, size, block = [], 0, block + 1
         if held:
             yield flush()
 
@@ -202,14 +228,18 @@ def _encode_job(path: str, end_id: int, table: Table) -> Callable[[Iterator[pa.R
 def write_ids(docs: DataFrame, out: str, path: str, end_id: int = 0) -> None:
     """Write ``out``/frequencies and ``out``/blocks.
 
-    The table has a row for each symbol of the vocabulary, so it may reach the driver.  Documents
-    move once, by ranges of their ids.  Texts are encoded in both passes: ids would take more room
-    in the shared folder than the texts do.
+    Texts are encoded once, and their ids written, two bytes each.  The table of frequencies has a row for each
+    symbol of the vocabulary, so it may reach the driver.  Ids move once, by ranges of the documents' ids; a
+    range may begin inside the rows of one id, so that an id of many rows is several tasks'.
     """
     spark = docs.sparkSession
-    count_ids(docs, path, end_id).write.parquet(f"{out}/frequencies")
-    ranged = texts(docs).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ranged.mapInArrow(_encode_job(path, end_id, read_table(spark, out)), BLOCKS).write.parquet(f"{out}/blocks")
+    rows = texts(docs).select("doc_id", F.substring("text", 1, HEAD).alias("head"), F.xxhash64("text").alias("digest"), "text")
+    ids = materialize(rows.mapInArrow(tidy(_ids_job(path, end_id)), ID_ROWS), "document-ids")
+    counted = ids.select("wide", "ids").mapInArrow(_count_job(), "symbol int, n long").groupBy("symbol").agg(F.sum("n").alias("n"))
+    counted.write.parquet(f"{out}/frequencies")
+    order = ["doc_id", "head", "digest", "nth"]
+    ranged = ids.withColumn("nth", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order)
+    ranged.select("doc_id", "wide", "ids").mapInArrow(tidy(_encode_job(read_table(spark, out))), BLOCKS).write.parquet(f"{out}/blocks")
 
 
 def read_table(spark: SparkSession, out: str) -> Table:
@@ -222,7 +252,7 @@ def read_table(spark: SparkSession, out: str) -> Table:
     return Table(frequencies(counts))
 
 
-def _decode_job(table: Table) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _decode_job(table: Table) -> ArrowJob:
     def run(batches):
         for batch in batches:
             for r in range(batch.num_rows):

@@ -1,6 +1,7 @@
 """N-gram Jaccard join with rare-first prefixes, and the components of its links.
 
-Equal texts are one node.  A node's set holds 64-bit hashes of its distinct runs of five words.  Two
+Equal texts are one node.  A node's set holds 64-bit hashes of its distinct runs of five words; while they are counted, the
+range a hash lies in and its 40 lower bits stand for it, 48 bits of both and the count in the join.  Two
 nodes link when 100 * intersection >= 75 * union.  Any two that do share a shingle among the first
 ``n - ceil(3 n / 4) + 1`` of each set, in any one order of all shingles; here rare ones come first.
 
@@ -25,6 +26,7 @@ and share ids: each row is its own document, and equal texts are linked.
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,11 +35,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.arrays import binaries, distinct, gather, listed, slices, tidy, tidy_group, utf8
-from ticketloom.llm.tables import materialize, texts, without_ids
+from ticketloom.llm.marks import marked_job, marks
+from ticketloom.llm.tables import materialize, texts
 
 WORDS = 5
 PERCENT = 75
 CHUNK_BYTES = 8 << 20
+CHUNK_NODES = 1 << 16
 RANGE_BYTES = 4 << 20  # of text for each range of hashes
 PICKS = 4
 CELL_NODES = 4096
@@ -109,7 +113,7 @@ def _pack_job(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         from pyspark import TaskContext
 
         chunk = TaskContext.get().partitionId() << 32
-        for rows in slices(batches, limit=CHUNK_BYTES):
+        for rows in (s.slice(k, CHUNK_NODES) for s in slices(batches, limit=CHUNK_BYTES) for k in range(0, s.num_rows, CHUNK_NODES)):
             grams, who = shingles(rows.column("text"))
             n = np.bincount(who, minlength=rows.num_rows).astype("<u4")
             nodes = b"".join(rows.column("node").to_pylist())
@@ -121,10 +125,11 @@ def _pack_job(parts: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
             out = [(chunk % parts, chunk, 0, n.tobytes() + nodes)]
             for p in np.flatnonzero(np.diff(edges)).tolist():
                 a, b = edges[p], edges[p + 1]
-                counts = np.bincount(who[a:b], minlength=rows.num_rows).astype("<u4")
                 low = grams[a:b]
-                # who ascends within a range, so counts tell each shingle's node
-                out.append((p, chunk, 1, np.uint32(rows.num_rows).tobytes() + counts.tobytes() + (low & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + ((low >> np.uint64(32)) & np.uint64(0xFF)).astype("u1").tobytes()))
+                # Nodes ascend within a range: each is told by its distance from the one before, in two bytes at most.
+                gaps = np.diff(who[a:b], prepend=0)
+                wide = int(gaps.max() > 255)
+                out.append((p, chunk, 1, bytes([wide]) + gaps.astype("<u2" if wide else "u1").tobytes() + (low & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() + ((low >> np.uint64(32)) & np.uint64(0xFF)).astype("u1").tobytes()))
             columns = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.int32(), pa.binary()), strict=True)], ["part", "chunk", "kind", "payload"])
             chunk += 1
@@ -141,12 +146,12 @@ def _count_range(table: pa.Table) -> pa.Table:
     for k, p in enumerate(payloads):
         if kinds[k] == 0:
             continue
-        rows = int(np.frombuffer(p, "<u4", 1)[0])
-        counts = np.frombuffer(p, "<u4", rows, 4)
-        m = int(counts.sum())
-        low = np.frombuffer(p, "<u4", m, 4 + 4 * rows).astype(np.uint64)
-        keys.append(low | (np.frombuffer(p, "u1", m, 4 + 4 * rows + 4 * m).astype(np.uint64) << np.uint64(32)))
-        owners.append(np.repeat(np.arange(rows, dtype=np.uint32), counts))
+        size = 1 + p[0]  # bytes of a gap
+        m = (len(p) - 1) // (5 + size)
+        at = 1 + size * m
+        low = np.frombuffer(p, "<u4", m, at).astype(np.uint64)
+        keys.append(low | (np.frombuffer(p, "u1", m, at + 4 * m).astype(np.uint64) << np.uint64(32)))
+        owners.append(np.cumsum(np.frombuffer(p, "<u2" if size == 2 else "u1", m, 1), dtype=np.uint32))
         sources.append(np.full(m, k, np.uint32))
     if keys:
         key, owner, source = np.concatenate(keys), np.concatenate(owners), np.concatenate(sources)
@@ -342,23 +347,48 @@ def linked_nodes(sets: DataFrame) -> DataFrame:
     return components(links.unionByName(_verified(pairs, sets, "open-links")), "final-labels")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` of every row; ``component_id`` is the smallest id reachable by links."""
+def _named(docs: DataFrame) -> DataFrame:
+    """``node, doc_id, n, label`` of every row: its text's digest, its shingles, and its component's least node."""
     rows = texts(docs).withColumn("node", F.unhex(F.md5("text")))
     # Copies are put together before texts move; a text moves once.
     nodes = rows.groupBy("node").agg(F.any_value("text").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     sized = materialize(shared_sets(nodes, size), "shared-sets")
     labels = linked_nodes(sized.where("grams IS NOT NULL"))
-    named = rows.select("doc_id", "node").join(sized.select("node", "n"), "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    return rows.select("doc_id", "node").join(sized.select("node", "n"), "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every row; ``component_id`` is the smallest id reachable by links."""
+    named = _named(docs)
     # Ids of a component: reduced by label first, as one component may hold a third of all rows.
     least = named.where("n > 0").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     return named.join(least, "label", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, one for each id; all columns kept.
+    """One row of ``docs`` for each component, that of its smallest id (null last), then of its least text digest; all columns kept.
 
-    Rows without words stay as they are.
+    Rows are told apart by id and text, so a text whose id another text shares is judged by itself.  Of rows
+    that agree in both, any one stays.  Rows without words stay as they are.
     """
-    return without_ids(docs, near_duplicates(docs).where("doc_id <> component_id"))
+    named = materialize(_named(docs), "named-rows").where("n > 0")
+    key = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "node")
+    kept = named.groupBy("label").agg(F.min(key).alias("kept"))
+    each = named.groupBy("label", "doc_id", "node").agg(F.count("*").alias("rows")).join(kept, "label").withColumn("stays", key == F.col("kept"))
+    each = materialize(each.where("NOT stays OR rows > 1").select("doc_id", "node", "stays"), "duplicate-rows")
+    each = each.select(F.xxhash64("doc_id", "node").alias("key"), "doc_id", "node", "stays")
+    # Only rows whose key may be there are joined; the others, most of the texts, do not move.
+    mine = {c: f"{c}_{uuid.uuid4().hex}" for c in ("key", "doc_id", "node", "stays")}
+    each = each.toDF(*mine.values())
+    own, node = docs["doc_id"].cast("long"), F.unhex(F.md5(docs["text"].cast("string")))
+    keyed = docs.withColumns({mine["key"]: F.xxhash64(own, node)})
+    held = marks(each, mine["key"])
+    far = keyed.mapInArrow(marked_job(mine["key"], held, wanted=False), keyed.schema)
+    near = keyed.mapInArrow(marked_job(mine["key"], held), keyed.schema)
+    here = near["doc_id"].cast("long").eqNullSafe(each[mine["doc_id"]]) & (F.unhex(F.md5(near["text"].cast("string"))) == each[mine["node"]])
+    out = far.unionByName(near.join(each, here, "left_anti"))
+    if not each.where(mine["stays"]).isEmpty():
+        same = near.join(each.where(mine["stays"]), here, "left_semi")
+        out = out.unionByName(same.withColumn(mine["node"], F.md5("text")).dropDuplicates(["doc_id", mine["node"]]).drop(mine["node"]))
+    return out.drop(mine["key"])
