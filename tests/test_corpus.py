@@ -85,3 +85,31 @@ def test_csv_roundtrip_keeps_line_breaks_and_quotes(spark):
     path = scratch_path(spark, "csv")
     IO.write_csv(df, path)
     assert sorted(map(tuple, IO.read_csv(spark, path, df.schema).collect())) == rows
+
+
+def test_a_second_build_lemmatises_nothing(spark, monkeypatch):
+    from ticketloom.operators import corpus as C
+    from ticketloom.scale import scratch_path
+
+    row = lambda i, body: (i, "S", body, "An answer.", "Incident", "IT", "high", "en", "t1")
+    long = " with the servers that were failing again in the office"
+    columns = "ticket_id long, subject string, body string, answer string, type string, queue string, priority string, language string, tag_1 string"
+    table = [row(1, "Printers" + long), row(2, "Printers" + long), row(3, "Laptops" + long)]
+    lemmas = lambda _: spark.createDataFrame([("servers", "server"), ("failing", "fail")], "token string, lemma string")
+    store, seen = scratch_path(spark, "store"), []
+    work = C.lemmatize
+
+    def counted(texts, *args, **options):
+        seen.append(texts.count())
+        return work(texts, *args, **options)
+
+    monkeypatch.setattr(C, "lemmatize", counted)
+    first = C.build_corpus(spark.createDataFrame(table[:2], columns), lemmas, store)
+    assert {r["lemmatized_body"] for r in first.collect()} == {"printers server fail office"}
+    again = C.build_corpus(spark.createDataFrame(table, columns), lemmas, store)
+    assert {r["ticket_id"]: r["lemmatized_body"].split()[0] for r in again.collect()} == {1: "printers", 2: "printers", 3: "laptops"}
+    C.build_corpus(spark.createDataFrame(table, columns), lemmas, store)
+    assert seen == [1, 1, 0]
+    assert again.columns == ["ticket_id", "subject", "body", "answer", "type", "queue", "priority", "tag_1", "clean_body", "clean_answer", "lemmatized_body", "body_length", "answer_length", "clean_answer_length"]
+    with pytest.raises(ValueError):
+        C.build_corpus(spark.createDataFrame(table, columns).drop("priority"), lemmas, store)

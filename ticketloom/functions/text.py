@@ -28,6 +28,16 @@ NFKC_STABLE = (
 )
 
 # Words that appear in every queue and say nothing about any of them.
+# Function words of English: they say nothing about a ticket, in whatever form they are written.
+GENERAL_STOP_WORDS = (
+    "a about above after again against all also although always am among an and another any are as at be because been before being below "
+    "between both but by can could did do does doing done down during each either else ever every few for from further had has have having "
+    "he her here hers herself him himself his how however if in into is it its itself just least less many may me might mine more most much "
+    "must my myself neither never no nor not nothing now of off often on once only or other others our ours ourselves out over own perhaps "
+    "quite rather really same several she should since so some such than that the their theirs them themselves then there therefore these "
+    "they this those though through thus to too toward under until up upon us very was we well were what whatever when whenever where "
+    "whether which while who whoever whole whom whose why will with within without would yet you your yours yourself yourselves"
+).split()
 DOMAIN_STOP_WORDS = [
     "the", "a", "an", "i", "my", "to", "for", "in", "is", "was", "am",
     "not", "this", "there", "be", "with", "on", "and", "of", "you", "we",

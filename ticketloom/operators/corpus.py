@@ -6,11 +6,12 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ticketloom.functions import text as X
-from ticketloom.scale import bounded_broadcast, hot_keys, salted_join
+from ticketloom.scale import bounded_broadcast, hot_keys, materialize, salted_join
 from ticketloom.settings import DEFAULTS
-from ticketloom.sources.tables import corpus_columns
+from ticketloom.sources.tables import corpus_columns, require_columns
 
 
 def filter_language(df: DataFrame, language: str = DEFAULTS.language) -> DataFrame:
@@ -80,14 +81,15 @@ def lemmatize(
     key: str = "text_key",
     stop_words: Sequence[str] = tuple(X.DOMAIN_STOP_WORDS),
     min_chars: int = 3,
+    surface_stop_words: Sequence[str] = (),
 ) -> DataFrame:
     """Lemma text per row from a (token, lemma) table.
 
     A token without an entry is its own lemma.  Stop words are looked up by lemma, the length
-    limit by the token as written.  A text with nothing left gives the empty string.
+    limit and ``surface_stop_words`` by the token as written.  A text with nothing left gives the empty string.
     """
     tokens = texts.select(key, F.posexplode(X.whitespace_tokens(F.col(text_col))).alias("pos", "token")).where(
-        F.length("token") >= min_chars
+        (F.length("token") >= min_chars) & ~F.col("token").isin(list(surface_stop_words) or [""])
     )
     lemma = F.coalesce("lemma", "token")
     kept = (
@@ -121,6 +123,46 @@ def suffix_lemmas(texts: DataFrame, text_col: str = "clean_body", suffixes: Sequ
     )
 
 
+def remembered(process: Callable[[DataFrame], DataFrame], store: str, out_col: str = "lemmatized_body") -> Callable[[DataFrame], DataFrame]:
+    """``process`` for :func:`map_distinct` that works only texts the table at ``store`` lacks, and adds them to it.
+
+    The table holds (text_key, ``out_col``) and belongs to one way of processing.  An append that runs twice
+    leaves a key twice; readers take one.
+    """
+
+    def run(texts: DataFrame) -> DataFrame:
+        spark = texts.sparkSession
+        schema = T.StructType([texts.schema["text_key"], T.StructField(out_col, T.StringType())])
+        spark.createDataFrame([], schema).write.mode("append").parquet(store)  # the folder is there from now on
+        known = spark.read.schema(schema).parquet(store)
+        fresh = texts.join(known.select("text_key"), "text_key", "left_anti")
+        process(fresh).select("text_key", out_col).write.mode("append").parquet(store)
+        return spark.read.schema(schema).parquet(store).dropDuplicates(["text_key"])
+
+    return run
+
+
+def build_corpus(
+    raw: DataFrame,
+    lemmas: Callable[[DataFrame], DataFrame],
+    store: str,
+    language: str = DEFAULTS.language,
+    strip_html: bool = False,
+    surface_stop_words: Sequence[str] = tuple(X.GENERAL_STOP_WORDS),
+) -> DataFrame:
+    """Raw tickets to the corpus in its full layout: filters, cleaning, lengths, lemma text, column order.
+
+    ``lemmas`` makes a (token, lemma) table of the cleaned rows.  Texts already in ``store`` are not lemmatised
+    again, so a later run over a grown table works its new texts alone.
+    """
+    require_columns(raw, ["ticket_id", "body", "answer", "type", "queue", "priority"])
+    ready = add_length_columns(filter_body_length(add_clean_columns(filter_language(raw, language), strip_html)))
+    ready = materialize(ready, "cleaned-corpus")
+    table = materialize(lemmas(ready), "lemmas")
+    work = remembered(lambda texts: lemmatize(texts, table, surface_stop_words=surface_stop_words), store)
+    return corpus_columns(map_distinct(ready, "clean_body", "lemmatized_body", work))
+
+
 def subject_weighted_text(subject: Column, body: Column) -> Column:
     """Subject twice, then the body; a missing part counts as empty."""
     s, b = F.coalesce(subject, F.lit("")), F.coalesce(body, F.lit(""))

@@ -194,7 +194,8 @@ def request_validation(spark, sf):
     return C.validate_requests(views.tickets(spark, sf)).select("ticket_id", "reject_reason")
 
 
-_LEMMAS = f"""{Q.CLEANED},
+def _lemma_sql(cleaned_rows: str, surface: str = "''") -> str:
+    return f"""{cleaned_rows},
 toks AS (SELECT ticket_id, unnest(string_split(clean_body, ' ')) AS token, generate_subscripts(string_split(clean_body, ' '), 1) AS pos FROM v_clean),
 words AS (SELECT DISTINCT token FROM toks WHERE token <> ''),
 opts AS (SELECT token, 0 AS o, left(token, length(token) - 3) AS lemma FROM words WHERE token LIKE '%ing' AND length(token) >= 6
@@ -204,7 +205,10 @@ opts AS (SELECT token, 0 AS o, left(token, length(token) - 3) AS lemma FROM word
 lemmas AS (SELECT o.token, arg_min(o.lemma, o.o) AS lemma FROM opts o JOIN words w ON w.token = o.lemma GROUP BY o.token),
 lemmatized AS (SELECT v.ticket_id, v.queue, v.clean_body, coalesce(l.body, '') AS lemmatized_body FROM v_clean v LEFT JOIN
   (SELECT t.ticket_id, string_agg(coalesce(m.lemma, t.token), ' ' ORDER BY t.pos) AS body FROM toks t LEFT JOIN lemmas m ON m.token = t.token
-   WHERE length(t.token) >= 3 AND coalesce(m.lemma, t.token) NOT IN ({Q.STOP_LIST}) GROUP BY t.ticket_id) l ON l.ticket_id = v.ticket_id)"""
+   WHERE length(t.token) >= 3 AND coalesce(m.lemma, t.token) NOT IN ({Q.STOP_LIST}) AND t.token NOT IN ({surface}) GROUP BY t.ticket_id) l ON l.ticket_id = v.ticket_id)"""
+
+
+_LEMMAS = _lemma_sql(Q.CLEANED)
 
 
 def lemmatized(spark, sf):
@@ -223,6 +227,32 @@ def lemma_table(spark, sf):
     return C.suffix_lemmas(cleaned(spark, sf))
 
 
+_GENERAL = ", ".join(f"'{w}'" for w in X.GENERAL_STOP_WORDS)
+_FULL = f"""{Q.ANSWERED}, {Q.ATTRIBUTES}, {Q.TAGGED},
+v_full AS (SELECT p.ticket_id, p.subject, p.body, p.answer, a.type, d.source AS queue, a.priority, g.tag_1, g.tag_2, g.tag_3, d.lang AS language
+  FROM v_pairs p LEFT JOIN documents d ON d.doc_id = p.conv_id LEFT JOIN v_attr a ON a.ticket_id = p.conv_id LEFT JOIN v_tags g ON g.ticket_id = p.conv_id % 200 + 1),
+v_clean AS (SELECT * FROM (SELECT *, {Q.clean('body')} AS clean_body, {Q.clean('answer')} AS clean_answer FROM v_full WHERE language = 'en') t WHERE length(clean_body) BETWEEN 30 AND 5000)"""
+
+
+@query(
+    "build_corpus",
+    f"""WITH {_lemma_sql(_FULL, _GENERAL)}
+SELECT c.ticket_id, subject, body, answer, type, c.queue, priority, tag_1, tag_2, tag_3, c.clean_body, clean_answer, lemmatized_body,
+  length(body) AS body_length, length(answer) AS answer_length, length(clean_answer) AS clean_answer_length
+FROM v_clean c JOIN lemmatized l ON l.ticket_id = c.ticket_id""",
+)
+def build_corpus(spark, sf):
+    """Raw tickets with answers, attributes and tags to the full corpus layout, over a store of lemmatised texts.
+
+    A first run fills the store from half of the tickets; the second works what is new and gives the corpus.
+    """
+    raw = views.full_tickets(spark, sf)
+    store = scratch_path(spark, "lemma-store")
+    every = C.suffix_lemmas(C.add_clean_columns(C.filter_language(raw)).transform(C.filter_body_length))
+    C.build_corpus(raw.where(F.col("ticket_id") % 2 == 0), lambda _: every, store)
+    return C.build_corpus(raw, lambda _: every, store)
+
+
 @query(
     "io_roundtrip",
     f"WITH {Q.ANSWERED} SELECT ticket_id, subject, body, answer, lower(substring(answer, 1, 100)) AS answer_start, length(body) AS body_length, length(answer) AS answer_length FROM v_pairs",

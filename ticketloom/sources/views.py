@@ -79,11 +79,21 @@ def cases(spark: SparkSession, sf: str) -> DataFrame:
     queue_of = read_table(spark, sf, "documents").select(
         F.col("doc_id").alias("conv_id"), F.col("source").alias("queue")
     )
-    return answered(spark, sf).join(queue_of, "conv_id").select(
+    # A conversation without a document has no queue and so is no case.
+    return answered(spark, sf).join(queue_of, "conv_id", "inner").select(
         "ticket_id", "subject", "body", "answer", "queue"
     )
 
 
+def full_tickets(spark: SparkSession, sf: str) -> DataFrame:
+    """``answered`` with queue, language, type, priority and tags: every column a raw ticket can have."""
+    queue_of = read_table(spark, sf, "documents").select(F.col("doc_id").alias("conv_id"), F.col("source").alias("queue"), F.col("lang").alias("language"))
+    kinds = read_table(spark, sf, "orders").select(F.col("o_orderkey").alias("conv_id"), F.col("o_orderstatus").alias("type"), F.col("o_orderpriority").alias("priority"))
+    labelled = tagged(spark, sf).select(F.col("ticket_id").alias("_part"), "tag_1", "tag_2", "tag_3")
+    base = answered(spark, sf).withColumn("_part", F.col("conv_id") % 200 + 1)
+    return base.join(queue_of, "conv_id", "left").join(kinds, "conv_id", "left").join(labelled, "_part", "left").drop("_part", "conv_id", "turn")
+
+
 def replies(spark: SparkSession, sf: str) -> DataFrame:
     """ticket_id, raw: model replies, well-formed and broken in several ways."""
     kind = F.col("event_id") % 7
