@@ -142,6 +142,25 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert personal_data.digest(personal_data.find(docs(spark, []))).count() == 0
 
 
+def test_a_found_identifier_leads_to_another_context(spark):
+    table = [(k, f"{prose(k, 4)} call +1 (555) 010-{1000 + k} {prose(k + 40, 3)}") for k in range(20)]
+    for k in range(4):  # no seed stands behind "dial"; what "call" reveals does
+        table += [(100 + k, f"call 555-0199-{100 + k} soon"), (110 + k, f"dial 555-0199-{100 + k} soon")]
+    table += [(200, "dial 555-7777-123 now"), (201, "room 555-7777-124 now")]
+    spans = lambda rounds: {r["doc_id"]: r["spans"] for r in personal_data.digest(personal_data.find(docs(spark, table), rounds=rounds)).collect()}
+    first, last = spans(1), spans(3)
+    assert first[100] == "phone:5:17" and first[200] == ""
+    assert last[110] == last[200] == "phone:5:" + str(5 + len("555-0199-100")) and last[201] == ""
+
+
+def test_a_context_of_order_numbers_is_no_pattern(spark):
+    table = [(k, f"see ref user{k}@mail.com") for k in range(4)] + [(10 + k, f"see ref {70000 + k}") for k in range(8)]
+    found = {r["doc_id"]: r["spans"] for r in personal_data.digest(personal_data.find(docs(spark, table))).collect()}
+    assert all(found[10 + k] == "" for k in range(8)) and found[0].startswith("email:8:")
+    scored = personal_data.pattern_scores(personal_data.scan(docs(spark, table)))
+    assert {(r["pattern"], r["known"], round(r["confidence"], 6)) for r in scored.collect()} == {("ref", 4, 0.333333), ("see ref", 4, 0.333333)}
+
+
 @pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_agrees_with_sql(spark, sf, name):
     assert compare(catalog.queries()[name](spark, sf), database(sf).sql(catalog.oracle_sql()[name])) == ""

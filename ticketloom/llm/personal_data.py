@@ -2,9 +2,10 @@
 
 Seeds are the spans of four plain patterns (email, ip, card, phone).  The one or two words before a
 seed are a lexical pattern for its kind.  Patterns and the values found behind them form a graph:
-a pattern is as sure as the share of its distinct values that are known to be of its kind, a value
-as sure as its patterns together make it.  Both are scored in turns; patterns that end up sure and well
-supported mark the identifier-like tokens behind them (five digits or more, or an ``@``) that no plain pattern took.
+a pattern is as sure as the share of its distinct values that are known to be of its kind.  In each round
+the values that sure patterns mark become known, and all patterns, new ones among them, are scored again.
+Patterns that end up sure mark the identifier-like tokens behind them (five digits or more, or an ``@``) that no
+plain pattern took and that have the form of the kind.
 
 Java looks for each pattern from the left; possessive loops and looks behind keep it linear on long
 runs and change no match.  Positions count code points.
@@ -116,36 +117,62 @@ def _edges(spans: DataFrame, *columns: str) -> DataFrame:
     return spans.select(*columns, F.sha2(F.lower("value"), 256).alias("value"), patterns).distinct()
 
 
-def sure_patterns(scanned: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
-    """``pattern, kind, confidence`` of the patterns that end up sure.
+def _forms(value: str) -> Column:
+    """The kinds whose form an identifier-like token may have: an ``@``, or enough digits or parts."""
+    digits = F.length(_digits(F.col(value)))
+    may = {"email": F.contains(F.col(value), F.lit("@")), "ip": F.size(F.split(value, r"[.:]")) >= 4, "card": digits >= 12, "phone": digits.between(7, 15)}
+    return F.array_compact(F.array(*[F.when(may[k], F.lit(k)) for k in KINDS]))
+
+
+def _family(pattern: str) -> Column:
+    """Patterns of one place, one word and two, share their last word: they are no independent witnesses."""
+    return F.substring_index(pattern, " ", -1)
+
 
-    Every step aggregates by pattern or by value before it joins; rows stay edges of the graph.
+def pattern_scores(scanned: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """``pattern, kind, known, confidence`` of every pattern with ``min_seeds`` known values or more, after the last round.
+
+    A round takes in the values that sure patterns mark, and counts every pattern's known values anew: those
+    new ones bring support to the other contexts they stand in.  A value found through a pattern's own
+    family does not support it.  Every step aggregates by pattern or by value before it joins; rows stay edges
+    of the graph.
     """
     seeds = None
     for kind in KINDS:
         one = scanned.where(F.size(kind) > 0).select(F.lit(kind).alias("kind"), F.inline(kind))
         seeds = one if seeds is None else seeds.unionByName(one)
     known = materialize(_edges(seeds, "kind"), "seed-edges")
-    # A pattern's support by seeds comes first: those with too little never mark anything.
-    support = known.groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
-    supported = support.where(F.col("seeds") >= min_seeds)
-    unknown = materialize(_edges(_free(scanned), "row").drop("row").distinct().join(supported.select("pattern").distinct(), "pattern", "left_semi"), "free-edges")
-    sizes = known.groupBy("pattern").agg(F.count_distinct("value").alias("n")).unionByName(unknown.groupBy("pattern").agg(F.count("*").alias("n"))).groupBy("pattern").agg(F.sum("n").alias("values"))
-    base = materialize(supported.join(sizes, "pattern"), "patterns")
-    scored = base.withColumn("confidence", F.col("seeds") / F.col("values"))
-    for _ in range(rounds):
-        # A value is of a kind unless each of its patterns is wrong.
-        values = unknown.join(scored.select("pattern", "kind", "confidence"), "pattern").groupBy("value", "kind").agg((1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("confidence")))))).alias("belief"))
-        gained = unknown.join(values, "value").groupBy("pattern", "kind").agg(F.sum("belief").alias("gained"))
-        again = base.join(gained, ["pattern", "kind"], "left").withColumn("confidence", (F.col("seeds") + F.coalesce("gained", F.lit(0.0))) / F.col("values"))
-        scored = materialize(again.drop("gained"), "pattern-scores")
+    free = materialize(_edges(_free(scanned).withColumn("kinds", _forms("value")), "kinds"), "free-edges")
+    sizes = known.groupBy("pattern").agg(F.count_distinct("value").alias("n")).unionByName(free.groupBy("pattern").agg(F.count_distinct("value").alias("n")))
+    sizes = materialize(sizes.groupBy("pattern").agg(F.sum("n").alias("values")), "pattern-sizes")
+    seeded = materialize(known.groupBy("pattern", "kind").agg(F.count("*").alias("seeds")), "pattern-seeds")
+    scored = None
+    for _ in range(max(1, rounds)):
+        if scored is None:
+            support = seeded.withColumnRenamed("seeds", "known")
+        else:
+            sure = scored.where(F.col("confidence") >= min_confidence).select("pattern", "kind", _family("pattern").alias("family"))
+            found = free.join(sure, "pattern").where(F.array_contains("kinds", F.col("kind"))).groupBy("value", "kind").agg(F.min("family").alias("one"), F.max("family").alias("other"))
+            own = _family("pattern")
+            gained = free.join(found, "value").where(F.array_contains("kinds", F.col("kind")) & ((F.col("one") != own) | (F.col("other") != own)))
+            gained = gained.groupBy("pattern", "kind").agg(F.count_distinct("value").alias("gained"))
+            support = seeded.join(gained, ["pattern", "kind"], "full").select("pattern", "kind", (F.coalesce("seeds", F.lit(0)) + F.coalesce("gained", F.lit(0))).alias("known"))
+        rated = support.where(F.col("known") >= min_seeds).join(sizes, "pattern")
+        scored = materialize(rated.select("pattern", "kind", "known", (F.col("known") / F.col("values")).alias("confidence")), "pattern-scores")
+    return scored
+
+
+def sure_patterns(scanned: DataFrame, rounds: int = ROUNDS, min_seeds: int = MIN_SEEDS, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """``pattern, kind, confidence`` of the patterns that end up sure."""
+    scored = pattern_scores(scanned, rounds, min_seeds, min_confidence)
     return scored.where(F.col("confidence") >= min_confidence).select("pattern", "kind", "confidence")
 
 
 def discovered(scanned: DataFrame, patterns: DataFrame) -> DataFrame:
-    """``row`` and the spans that sure patterns add, each under its surest kind."""
-    free = _free(scanned).select("row", "begin", "end", F.explode(F.filter(F.array("near", "far"), lambda c: c != "")).alias("pattern"))
-    best = free.join(patterns, "pattern").groupBy("row", "begin", "end").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
+    """``row`` and the spans that sure patterns add, each under its surest kind among those it has the form of."""
+    free = _free(scanned).select("row", "begin", "end", _forms("value").alias("kinds"), F.explode(F.filter(F.array("near", "far"), lambda c: c != "")).alias("pattern"))
+    marked = free.join(patterns, "pattern").where(F.array_contains("kinds", F.col("kind")))
+    best = marked.groupBy("row", "begin", "end").agg(F.max_by("kind", F.struct("confidence", "kind")).alias("kind"))
     return best.groupBy("row").agg(F.collect_list(F.struct("kind", "begin", "end")).alias("added"))
 
 
