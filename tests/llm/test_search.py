@@ -16,11 +16,12 @@ NAN, INF = float("nan"), float("inf")
 
 
 def _plain_top(table, k):
-    good = [(i, [math.floor(64 * x) for x in v]) for i, v in table if i is not None and v is not None and all(x is not None and math.isfinite(x) and abs(64 * x) < 2**24 for x in v)]
+    good = [(i, [math.floor(64 * x) for x in v]) for i, v in table if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    score = lambda q, c: max(1 - 2**63, min(2**63 - 1, sum(a * b for a, b in zip(q, c, strict=True))))
     out = []
     for i, q in good:
         if i % 20 == 0:
-            scores = sorted((-sum(a * b for a, b in zip(q, c, strict=True)), j) for j, c in good if j != i and len(c) == len(q))
+            scores = sorted((-score(q, c), j) for j, c in good if j != i and len(c) == len(q))
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores[:k])]
     return sorted(out, key=repr)
 
@@ -36,6 +37,16 @@ def test_top_k_equals_all_scores(spark):
     assert segment_search.top_k(df.limit(0)).count() == 0
 
 
+def test_large_components_are_neither_dropped_nor_rounded(spark):
+    rng = np.random.default_rng(5)
+    table = [(i, rng.normal(0, 0.2, 6).tolist()) for i in range(60)]
+    table += [(100 + i, (rng.normal(0, 1, 6) * 10.0 ** rng.integers(4, 12, 6)).tolist()) for i in range(60)]  # scores on both sides of 64 bits
+    table += [(200, [1e300, -1e300, 1.0, 0.0, 0.0, 0.0]), (220, [0.0] * 6), (240, [-3e5] * 6), (241, [3e5] * 6), (242, [3e5] * 5 + [3e5 + 1 / 64]), (20, [4e5] * 6), (20, [1.0, 300000.0]), (21, [1.0, 2.0]), (40, [2.0, 1.0])]
+    df = spark.createDataFrame(table, "vec_id long, embedding array<double>")
+    for options in ({}, {"slice_rows": 30, "group_rows": 4, "seed_rows": 25}):
+        assert rows(segment_search.top_k(df, every=20, k=9, **options), "query_id", "rank", "vec_id", "score") == _plain_top(table, 9)
+
+
 def test_bounds_hold_on_every_level():
     rng = np.random.default_rng(4)
     a, b = rng.integers(-90, 90, (40, 67)), rng.integers(-90, 90, (50, 67))

@@ -11,11 +11,12 @@ Vectors are packed into blocks.  Each query group meets each slice of blocks in
 carries the k best so far from block to block; a bounded sample of the table gives the first floor.
 No pair becomes a row: a task returns k rows for each query at most.
 
-Components are ``floor(scale * x)``.  A vector takes no part if it or its id is null, if a component is null
-or not finite, or if one is beyond ``LARGEST`` after scaling (scores would leave 64 bits).  Only vectors of
-the same length are compared.  A row is never its own candidate, nor is any row of the same id; a query
-row that is there twice is answered twice; equal scores go to the smaller id.  Empty tables and queries without a
-candidate give no row.
+Components are ``floor(scale * x)``.  A vector takes no part if it or its id is null, or if a component is null
+or not finite, after scaling too.  Vectors with a component beyond ``LARGEST`` form blocks of their own: bounds
+see their rows divided by a power of two, and survivors that could leave 64 bits are scored in Python's integers.
+A score beyond 64 bits is reported, and ranked, as plus or minus ``MOST``.  Only vectors of the same length are
+compared.  A row is never its own candidate, nor is any row of the same id; a query row that is there twice is
+answered twice; equal scores go to the smaller id.  Empty tables and queries without a candidate give no row.
 """
 
 from __future__ import annotations
@@ -33,7 +34,9 @@ from ticketloom.llm.tables import materialize
 
 BLOCK_ROWS = 8192
 QUERY_ROWS = 256  # queries whose bounds are held at once
-LARGEST = 1 << 24
+LARGEST = 1 << 24  # components up to here are held in 32 bits, larger ones as doubles
+MOST = (1 << 63) - 1
+LARGE_PAIRS = 4096  # pairs that are scored at once in Python's integers
 SPARSE = 16  # one pair in so many is open: from there on pairs are looked at one by one
 BLOCK = "block long, dim int, n long, ids binary, vectors binary"
 QUERIES = "block long, dim int, ids binary, vectors binary, floors binary"
@@ -41,8 +44,8 @@ FOUND = "block long, nth int, query_id long, vec_id long, score long"
 NO_FLOOR = np.iinfo(np.int64).min
 
 
-def quantised(column: pa.Array, ids: pa.Array, scale: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By length: ids and integer vectors of the rows that take part."""
+def quantised(column: pa.Array, ids: pa.Array, scale: float) -> dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]]:
+    """By length, and whether a component is beyond ``LARGEST``: ids and whole-numbered vectors of the rows that take part."""
     lists = column.cast(pa.large_list(pa.float64()))
     sizes = pc.fill_null(pc.list_value_length(lists), -1).to_numpy(zero_copy_only=False)
     ids_ok = pc.is_valid(ids).to_numpy(zero_copy_only=False)
@@ -53,9 +56,12 @@ def quantised(column: pa.Array, ids: pa.Array, scale: float) -> dict[int, tuple[
         flat = pc.fill_null(taken.flatten(), float("nan")).to_numpy(zero_copy_only=False).reshape(len(rows), dim)
         with np.errstate(invalid="ignore", over="ignore"):
             scaled = np.floor(scale * flat)
-            good = np.all(np.abs(scaled) <= LARGEST, axis=1)
-        if good.any():
-            out[dim] = (ids.take(pa.array(rows[good])).to_numpy(), scaled[good].astype(np.int64))
+            good = np.isfinite(scaled).all(axis=1)
+            large = ~np.all(np.abs(scaled) <= LARGEST, axis=1)
+        for wide, kind in ((False, np.int64), (True, np.float64)):
+            kept = good & (large == wide)
+            if kept.any():
+                out[dim, wide] = (ids.take(pa.array(rows[kept])).to_numpy(), scaled[kept].astype(kind))
     return out
 
 
@@ -64,25 +70,26 @@ def _blocks_job(scale: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
         from pyspark import TaskContext
 
         block = TaskContext.get().partitionId() << 32
-        held: dict[int, list] = {}
+        held: dict[tuple[int, bool], list] = {}
 
-        def flush(dim):
-            ids, vectors = (np.concatenate(x) for x in zip(*held.pop(dim), strict=True))
+        def flush(key):
+            dim, wide = key
+            ids, vectors = (np.concatenate(x) for x in zip(*held.pop(key), strict=True))
             return pa.RecordBatch.from_arrays(
-                [pa.array([block], pa.int64()), pa.array([dim], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([vectors.astype("<i4").tobytes()], pa.binary())],
+                [pa.array([block], pa.int64()), pa.array([dim], pa.int32()), pa.array([len(ids)], pa.int64()), pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([vectors.astype("<f8" if wide else "<i4").tobytes()], pa.binary())],
                 ["block", "dim", "n", "ids", "vectors"],
             )
 
         for batch in batches:
             for at in range(0, batch.num_rows, BLOCK_ROWS):
                 part = batch.slice(at, BLOCK_ROWS)
-                for dim, rows in quantised(part.column("embedding"), part.column("vec_id"), scale).items():
-                    held.setdefault(dim, []).append(rows)
-                    if sum(len(h[0]) for h in held[dim]) >= BLOCK_ROWS:
-                        yield flush(dim)
+                for key, rows in quantised(part.column("embedding"), part.column("vec_id"), scale).items():
+                    held.setdefault(key, []).append(rows)
+                    if sum(len(h[0]) for h in held[key]) >= BLOCK_ROWS:
+                        yield flush(key)
                         block += 1
-        for dim in list(held):
-            yield flush(dim)
+        for key in list(held):
+            yield flush(key)
             block += 1
 
     return run
@@ -103,22 +110,29 @@ def statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     begins = np.arange(segments) * dim // segments
     lengths = np.diff(np.append(begins, dim))
     sums = np.add.reduceat(vectors, begins, axis=1).astype(np.float64)
-    squares = np.add.reduceat(vectors * vectors, begins, axis=1).astype(np.float64)
-    mean = sums / np.sqrt(lengths)
-    return np.hstack((mean, np.sqrt(np.maximum(0.0, squares - mean * mean))))
+    # Squares about the mean: the difference of two large sums would lose small deviations.
+    about = vectors - np.repeat(sums / lengths, lengths, axis=1)
+    return np.hstack((sums / np.sqrt(lengths), np.sqrt(np.add.reduceat(about * about, begins, axis=1))))
 
 
 class Side:
-    """Vectors of one side with their statistics on every level."""
+    """Vectors of one side with their statistics on every level.
+
+    Rows of doubles are divided by ``2 ** power`` first, so that no square leaves their range.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
-        self.ids, self.vectors = ids, vectors
+        self.ids, self.vectors, self.power = ids, vectors, None
+        if vectors.dtype.kind == "f":
+            self.power = np.frexp(np.abs(vectors).max(axis=1, initial=0.0))[1].astype(np.int64)
+            vectors = np.ldexp(vectors, -self.power[:, None])
         self.levels = [statistics(vectors, s) for s in segment_counts(vectors.shape[1])]
         self.norm = np.sqrt((vectors * vectors).sum(1).astype(np.float64))
 
     def part(self, a: int, b: int) -> Side:
         out = object.__new__(Side)
         out.ids, out.vectors, out.norm = self.ids[a:b], self.vectors[a:b], self.norm[a:b]
+        out.power = None if self.power is None else self.power[a:b]
         out.levels = [x[a:b] for x in self.levels]
         return out
 
@@ -131,12 +145,41 @@ def _dots(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndar
     return out
 
 
+def _large_dots(queries: Side, corpus: Side, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Scores of the pairs in whole numbers of any size, cut off at ``MOST``."""
+    out = np.empty(len(i), np.int64)
+    whole = np.vectorize(int, otypes=[object])
+    for at in range(0, len(i), LARGE_PAIRS):
+        s = slice(at, at + LARGE_PAIRS)
+        rows, of_row = np.unique(i[s], return_inverse=True)
+        others, of_other = np.unique(j[s], return_inverse=True)
+        a, b = whole(queries.vectors[rows]), whole(corpus.vectors[others])
+        out[s] = [min(MOST, max(-MOST, x)) for x in (a[of_row] * b[of_other]).sum(axis=1)]
+    return out
+
+
+def _large_survivors(queries: Side, corpus: Side, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As :func:`scored_survivors` where a side holds large components: bounds and floors are compared after division."""
+    powers = [np.zeros(len(x.ids), np.int64) if x.power is None else x.power for x in (queries, corpus)]
+    reach = np.where(floors == NO_FLOOR, -np.inf, floors.astype(np.float64))
+    least = np.ldexp(reach[:, None], -(powers[0][:, None] + powers[1])) - 1e-9 * queries.norm[:, None] * corpus.norm
+    open_ = np.ones(least.shape, bool)
+    for a, b in zip(queries.levels, corpus.levels, strict=True):
+        open_ &= a @ b.T >= least
+    i, j = np.nonzero(open_)
+    scores = _large_dots(queries, corpus, i, j)
+    kept = (scores >= floors[i]) & (queries.ids[i] != corpus.ids[j])
+    return i[kept], j[kept], scores[kept]
+
+
 def scored_survivors(queries: Side, corpus: Side, floors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, candidate, score) of the pairs whose bounds on all levels and whose score reach the query's floor.
 
     Few survivors are scored one by one; where the bounds leave many, as one product of the blocks, in
     floating point only while every score is a whole number below 2^53.
     """
+    if queries.power is not None or corpus.power is not None:
+        return _large_survivors(queries, corpus, floors)
     reach = np.where(floors == NO_FLOOR, -np.inf, floors.astype(np.float64))
     # Bounds are floating-point: a little below the floor still counts as reaching it.
     least = reach - (1e-9 * queries.norm * corpus.norm.max(initial=1.0) + 1e-6)
@@ -185,27 +228,35 @@ def search(queries: Side, blocks: Iterator[Side], floors: np.ndarray, k: int) ->
     return best
 
 
+def _stored(vectors: bytes, rows: int, dim: int) -> np.ndarray:
+    """Rows as a block holds them: 32-bit integers, or doubles."""
+    return np.frombuffer(vectors, "<f8" if len(vectors) == 8 * rows * dim > 0 else "<i4").reshape(rows, dim)
+
+
 def _unpacked(ids: bytes, vectors: bytes, dim: int) -> Side:
     held = np.frombuffer(ids, "<i8")
-    return Side(held, np.frombuffer(vectors, "<i4").reshape(len(held), dim).astype(np.int64))
+    rows = _stored(vectors, len(held), dim)
+    return Side(held, rows if rows.dtype.kind == "f" else rows.astype(np.int64))
 
 
-def _queries_job(every: int, k: int, sample: dict[int, tuple[np.ndarray, np.ndarray]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _queries_job(every: int, k: int, sample: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches):
-        seeds = {dim: Side(*rows) for dim, rows in sample.items()}
+        seeds: dict[int, list[Side]] = {}
+        for (dim, _), rows in sample.items():
+            seeds.setdefault(dim, []).append(Side(*rows))
         for batch in batches:
             for r in batch.to_pylist():
                 ids = np.frombuffer(r["ids"], "<i8")
                 asked = np.flatnonzero(ids % every == 0)
                 if not len(asked):
                     continue
-                vectors = np.frombuffer(r["vectors"], "<i4").reshape(len(ids), r["dim"])[asked]
+                vectors = _stored(r["vectors"], len(ids), r["dim"])[asked]
+                whole = vectors if vectors.dtype.kind == "f" else vectors.astype(np.int64)
                 floors = np.full(len(asked), NO_FLOOR, np.int64)
                 if r["dim"] in seeds:
-                    seed = seeds[r["dim"]]
                     for at in range(0, len(asked), QUERY_ROWS):
-                        side = Side(ids[asked][at : at + QUERY_ROWS], vectors[at : at + QUERY_ROWS].astype(np.int64))
-                        i, _, scores = search(side, iter([seed]), floors[at : at + QUERY_ROWS], k)
+                        side = Side(ids[asked][at : at + QUERY_ROWS], whole[at : at + QUERY_ROWS])
+                        i, _, scores = search(side, iter(seeds[r["dim"]]), floors[at : at + QUERY_ROWS], k)
                         full = np.flatnonzero(np.bincount(i, minlength=len(side.ids)) >= k)
                         floors[at + full] = scores[np.searchsorted(i, full, side="right") - 1]
                 yield pa.RecordBatch.from_arrays(
