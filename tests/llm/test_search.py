@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from ticketloom.llm import positional_index, segment_search
 
@@ -117,7 +118,7 @@ def test_phrases_and_near_terms_of_a_block():
     which, begin = positional_index.find_phrases(block, phrases)
     runs = [[phrases.vocabulary[c].as_py().decode() for c in r] for r in phrases.codes.tolist()]
     assert sorted(zip(which.tolist(), begin.tolist(), strict=True)) == [(p, k) for p, r in enumerate(runs) for k in range(len(words) - 1) if words[k : k + 2] == r]
-    which, low, high = positional_index.find_near(block, phrases, terms=2, slop=3)
+    which, low, high = positional_index.find_near(block, phrases, terms=2, slop=3, base=np.array([0]))
     for p, a, b in zip(which.tolist(), low.tolist(), high.tolist(), strict=True):
         assert {words[a], words[b]} == set(runs[p]) and b - a <= 3
     for p, r in enumerate(runs):
@@ -125,3 +126,13 @@ def test_phrases_and_near_terms_of_a_block():
         other = next(x for x in r if x != rare)
         places = [k for k, w in enumerate(words) if w == rare and other in words[max(0, k - 3) : k + 4]]
         assert sum(which == p) == len(places)
+
+
+def test_near_terms_stay_inside_a_document(spark):
+    # Document 2's "rare" is nearer to the end of document 1's "other" than to its own, but only its own counts.
+    table = [(1, "x y other"), (2, "rare f other g"), (3, "h rare"), (4, "other i"), (5, ""), (6, "rare a b c d e other")]
+    benchmark = spark.createDataFrame([(7, "rare other")], "item_id long, text string")
+    index = positional_index.build_index(docs(spark, table).coalesce(1))
+    ids = index.select("block", F.posexplode("doc_ids").alias("nth", "doc_id"))
+    found = positional_index.matches(index, benchmark, near=(2, 3)).join(ids, ["block", "nth"])
+    assert [(r["doc_id"], [tuple(s) for s in r["spans"]], r["items"]) for r in found.collect()] == [(2, [(0, 3)], [7])]

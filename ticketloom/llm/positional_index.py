@@ -163,8 +163,11 @@ def find_phrases(block: BlockPostings, phrases: Phrases) -> tuple[np.ndarray, np
     return (np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])) if found else (none, none)
 
 
-def find_near(block: BlockPostings, phrases: Phrases, terms: int, slop: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(phrase, first, last place) where its rarest ``terms`` distinct terms lie within ``slop`` words of the rarest one."""
+def find_near(block: BlockPostings, phrases: Phrases, terms: int, slop: int, base: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(phrase, first, last place) where its rarest ``terms`` distinct terms lie within ``slop`` words of the rarest one.
+
+    ``base`` is the place of each document's first word; only postings of the same document count as near.
+    """
     out: list[tuple[int, int, int]] = []
     for p, row in enumerate(phrases.codes):
         codes = np.unique(row[row >= 0])
@@ -173,12 +176,15 @@ def find_near(block: BlockPostings, phrases: Phrases, terms: int, slop: int) ->
             continue
         lists = [block.places[block.begin[c] : block.begin[c] + block.count[c]] for c in codes]
         low = high = lists[0]
+        doc = np.searchsorted(base, lists[0], side="right")
+        begin, end = base[doc - 1], np.append(base, 1 << 40)[doc]
         keep = np.ones(len(low), bool)
         for other in lists[1:]:
             at = np.searchsorted(other, lists[0])
             before = other[np.maximum(at - 1, 0)]
             after = other[np.minimum(at, len(other) - 1)]
-            left, right = np.where(at > 0, lists[0] - before, 1 << 40), np.where(at < len(other), after - lists[0], 1 << 40)
+            left = np.where((at > 0) & (before >= begin), lists[0] - before, 1 << 40)
+            right = np.where((at < len(other)) & (after < end), after - lists[0], 1 << 40)
             nearest = np.where(left <= right, before, after)
             keep &= np.minimum(left, right) <= slop
             low, high = np.minimum(low, nearest), np.maximum(high, nearest)
@@ -194,13 +200,13 @@ def _ask_job(phrases: Phrases, near: tuple[int, int] | None) -> Callable[[Iterat
                 row = {n: batch.column(n)[r].as_py() for n in ("block", "n_words", "counts", "places")}
                 block = BlockPostings(row | {"terms": batch.column("terms")[r].values}, phrases.vocabulary)
                 n_words = np.array(row["n_words"], np.int64)
+                base = np.cumsum(n_words + 1) - (n_words + 1)
                 if near:
-                    which, begin, last = find_near(block, phrases, *near)
+                    which, begin, last = find_near(block, phrases, *near, base)
                     end = last + 1
                 else:
                     which, begin = find_phrases(block, phrases)
                     end = begin + phrases.lengths[which]
-                base = np.cumsum(n_words + 1) - (n_words + 1)
                 doc = np.searchsorted(base, begin, side="right") - 1
                 inside = end <= base[doc] + n_words[doc] if len(doc) else np.zeros(0, bool)
                 which, begin, end, doc = which[inside], begin[inside], end[inside], doc[inside]
