@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ticketloom.functions import vectors as V
+from ticketloom.operators import cells as C
 from ticketloom.operators import metrics as M
 from ticketloom.operators import retrieval as R
 
@@ -29,7 +30,7 @@ def brute(qm, cm, k, q0, c0):
 @pytest.mark.parametrize(
     "ways",
     [{}, {"broadcast_bytes": 60 * 8 * 8}, {"broadcast_bytes": 0, "block_bytes": 600}],
-    ids=["corpus broadcast", "queries broadcast", "block pairs"],
+    ids=["corpus broadcast", "queries broadcast", "cells"],
 )
 def test_every_way_is_exact(spark, ways):
     queries, qm = unit_rows(spark, 60, 8, 1, 10_000)
@@ -123,3 +124,74 @@ def test_vectors_of_different_lengths_are_an_error(spark, way):
     asked = spark.createDataFrame([(9, [1.0, 0.0])], "ticket_id long, embedding array<double>")
     with pytest.raises(Exception, match="differ in length|mismatch"):
         R.nearest(asked, df, 2, corpus_extra=(), **way).collect()
+
+
+def _clustered(n, dim, centres, seed):
+    rng = np.random.default_rng(seed)
+    middle = np.random.default_rng(99).normal(size=(centres, dim))
+    return middle[rng.integers(0, centres, n)] + rng.normal(0, 0.02, (n, dim))
+
+
+def _in_cells(corpus, n):
+    pivots = C.distinct_rows(corpus[:n])
+    cell, distance = C.assign(corpus, pivots)
+    radius = np.zeros(len(pivots))
+    np.maximum.at(radius, cell, distance)
+    return C.Cells(pivots, radius, np.bincount(cell, minlength=len(pivots))), cell
+
+
+def test_no_score_exceeds_the_bound_of_its_cell():
+    for corpus in (_clustered(500, 6, 9, 1), np.repeat(_clustered(5, 6, 5, 2), 40, axis=0), 1e6 * _clustered(300, 6, 4, 3)):
+        cells, cell = _in_cells(corpus, 25)
+        queries = np.vstack([_clustered(40, 6, 9, 4), np.zeros((1, 6)), corpus[:5]])
+        assert (np.round(queries @ corpus.T, 9) <= cells.bounds(queries)[:, cell]).all()
+
+
+def test_what_is_sent_does_not_grow_with_the_cells():
+    corpus, queries, k = _clustered(6000, 12, 40, 5), _clustered(50, 12, 40, 6), 5
+    sent, rows = [], []
+    for n in (100, 200, 400, 800):
+        cells, cell = _in_cells(corpus, n)
+        scores = np.round(queries @ corpus.T, 9)
+        home = cells.home(queries, k)
+        assert (cells.rows @ home.T >= k).all()
+        floors = np.sort(np.where(home[:, cell], scores, -np.inf), axis=1)[:, -k]
+        left = cells.left_open(queries, floors, k)
+        best = np.sort(scores, axis=1)[:, -k:]
+        asked = home | left
+        assert (np.sort(np.where(asked[:, cell], scores, -np.inf), axis=1)[:, -k:] == best).all()
+        sent.append((asked * cells.rows).sum() / scores.size)
+        rows.append((left[:, cell] & (scores >= floors[:, None])).sum())
+    assert max(sent) < 0.25 and sent[-1] <= sent[0] and max(rows) <= 60 * len(queries)
+
+
+@pytest.mark.parametrize("block_bytes", [400, 3000, 1 << 20])
+def test_cells_of_any_size_are_exact(spark, block_bytes):
+    cm, qm = _clustered(700, 6, 12, 7), _clustered(80, 6, 12, 8)
+    cm[:250] = cm[0]  # one cell holds a third of the rows
+    qm[:30] = cm[0]  # and many queries
+    frame = lambda m, at: spark.createDataFrame([(at + i, v.tolist(), f"q{i % 3}") for i, v in enumerate(m)], "ticket_id long, embedding array<double>, queue string")
+    got = R.nearest(frame(qm, 10_000), frame(cm, 0).repartition(5), 7, query_extra=("queue",), broadcast_bytes=0, block_bytes=block_bytes).collect()
+    assert {(r["query_id"], r["rank"], r["neighbor_id"]) for r in got} == brute(qm, cm, 7, 10_000, 0) and len(got) == 560
+    assert all(r["neighbor_queue"] == f"q{r['neighbor_id'] % 3}" and r["queue"] == f"q{(r['query_id'] - 10_000) % 3}" for r in got)
+    few = R.nearest(frame(qm, 10_000), frame(cm[248:253], 0), 7, broadcast_bytes=0, block_bytes=block_bytes)
+    assert few.count() == 5 * 80
+
+
+def test_a_neighbour_of_all_is_dealt_over_tasks(spark):
+    found = spark.range(3000).selectExpr("id AS query_id", "1 AS rank", "IF(id % 10 = 0, id % 7, 99) AS neighbor_id", "0.5D AS score")
+    corpus = spark.range(100).selectExpr("id AS ticket_id", "concat('b', id) AS body")
+    hot = R.hot_neighbors(found, share=0.2, least=100)
+    assert [r[0] for r in hot.collect()] == [99]
+    plain, dealt = R.attach_payload(found, corpus, ["body"]), R.attach_payload(found, corpus, ["body"], hot=hot)
+    assert sorted(map(tuple, plain.select(sorted(plain.columns)).collect())) == sorted(map(tuple, dealt.select(sorted(plain.columns)).collect()))
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {c: spark.conf.get(c) for c in held}
+    try:
+        for c, v in held.items():
+            spark.conf.set(c, v)
+        tasks = dealt.where("neighbor_id = 99").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    assert len(tasks) > 2 and max(t["count"] for t in tasks) < 2000

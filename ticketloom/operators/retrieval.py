@@ -19,13 +19,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketloom.functions.vectors import clamp01
+from ticketloom.operators.cells import MAX_PIVOTS, Cells, assign, distinct_rows
+from ticketloom.scale import hot_keys, materialize, salted_join
 from ticketloom.settings import DEFAULTS
 
 SCORE_DIGITS = 9
 # Largest side that is shipped to every executor, in bytes of float64.
 BROADCAST_BYTES = 64 << 20
-# Bytes of float64 in a block of the larger side when neither side is small enough; a block of the
-# smaller side holds four times as much, as every vector is sent once per block of the other side.
+# Bytes of float64 that one task holds of the corpus when neither side is small enough; it holds four
+# times as much of the queries, as a cell is sent once for each such part of the queries that need it.
 BLOCK_BYTES = 64 << 20
 # Cells of one score matrix: 32 MiB of float64.
 SCORE_CELLS = 4 << 20
@@ -150,9 +152,10 @@ def nearest(
 
     Both sides are sized first.  A corpus that fits ``broadcast_bytes`` goes to every executor and
     queries stream past it without a shuffle.  Else, if the queries fit, they go out and each
-    corpus partition keeps k candidates per query, merged by a top-k window.  Else both sides
-    are cut into blocks by id hash and every pair of blocks is one task of bounded size.  All
-    three are exact, and no pair of vectors is ever a row.
+    corpus partition keeps k candidates per query, merged by a top-k window.  Else the corpus is
+    cut into cells around sampled vectors, and a query is sent only to cells whose bound reaches
+    the k-th best score of the cells it asked first.  All three are exact, and no pair of vectors
+    is ever a row.
 
     A vector that is null or holds a null, NaN or infinite element takes no part on either side;
     vectors of different lengths are an error that names the id.
@@ -202,32 +205,96 @@ def nearest(
 
         partial = c.mapInArrow(scan_corpus, schema)
     else:
-        smaller = "q" if size["q"] <= size["c"] else "c"
-        q_blocks, c_blocks = (
-            math.ceil(size[side] / (block_bytes * (4 if side == smaller else 1))) for side in ("q", "c")
-        )
-
-        def tiled(df: DataFrame, own: str, own_n: int, other: str, other_n: int) -> DataFrame:
-            return df.withColumn(own, F.pmod(F.xxhash64(id_col), F.lit(own_n))).withColumn(
-                other, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(other_n - 1).cast("long")))
-            )
-
-        def pair(left: pa.Table, right: pa.Table) -> pa.Table:
-            best = _Best(_side(left, id_col, vec_col, query_extra), k)
-            held = _side(right, id_col, vec_col, corpus_extra)
-            best.offer(held)
-            return best.table(arrow)
-
-        partial = (
-            tiled(q, "_qb", q_blocks, "_cb", c_blocks)
-            .groupBy("_qb", "_cb")
-            .cogroup(tiled(c, "_cb", c_blocks, "_qb", q_blocks).groupBy("_qb", "_cb"))
-            .applyInArrow(pair, schema)
-        )
+        partial = _by_cells(q, c, k, id_col, vec_col, query_extra, corpus_extra, schema, block_bytes, size["c"])
 
     return top_k(partial, k, "query_id", [F.desc("score"), F.asc("neighbor_id")]).select(schema.names)
 
 
+def _by_cells(
+    q: DataFrame, c: DataFrame, k: int, id_col: str, vec_col: str, query_extra: Sequence[str], corpus_extra: Sequence[str],
+    schema: T.StructType, block_bytes: int, corpus_bytes: int,
+) -> DataFrame:
+    """Candidates of :func:`nearest` with a corpus in cells.
+
+    Queries ask their best cells first.  The k-th score found there is their floor: other cells get
+    only the queries whose bound reaches it and return only what does, so neither the rows sent nor
+    those returned grow with the number of cells that are out of reach.  Cells above ``block_bytes`` and queries
+    above four times as much are cut by id hash.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    spark = q.sparkSession
+    arrow = to_arrow_schema(schema)
+    wanted = min(MAX_PIVOTS, max(16, math.ceil(corpus_bytes / block_bytes)))
+    sample = c.orderBy(F.xxhash64(id_col), id_col).limit(wanted).select(id_col, vec_col).toArrow()
+    pivots = spark.sparkContext.broadcast(distinct_rows(_side(sample, id_col, vec_col, ()).matrix))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            cell, distance = assign(_side(pa.Table.from_batches([batch]), id_col, vec_col, ()).matrix, pivots.value)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(distance)], [*batch.schema.names, "_cell", "_distance"])
+
+    in_cells = T.StructType([*c.schema.fields, T.StructField("_cell", T.LongType()), T.StructField("_distance", T.DoubleType())])
+    corpus = materialize(c.mapInArrow(placed, in_cells), "search-cells")
+    beside = sum((F.coalesce(F.octet_length(F.col(x).cast("string")), F.lit(0)) for x in corpus_extra), F.lit(8))
+    # One row for each cell: MAX_PIVOTS at most.
+    found = corpus.groupBy("_cell").agg(F.max("_distance").alias("radius"), F.count(F.lit(1)).alias("n"), F.sum(beside + 8 * F.size(vec_col)).alias("bytes")).toPandas()
+    radius, rows = np.zeros(len(pivots.value)), np.zeros(len(pivots.value), np.int64)
+    radius[found["_cell"]], rows[found["_cell"]] = found["radius"], found["n"]
+    cells = spark.sparkContext.broadcast(Cells(pivots.value, radius, rows))
+    parts = {int(cell): math.ceil(size / block_bytes) for cell, size in zip(found["_cell"], found["bytes"], strict=True)}
+
+    def routed(asked: DataFrame, first: bool) -> DataFrame:
+        """A row for each cell a query needs."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                step = max(1, SCORE_CELLS // len(cells.value.rows))
+                for at in range(0, batch.num_rows, step):
+                    part = batch.slice(at, step)
+                    matrix = _side(pa.Table.from_batches([part]), id_col, vec_col, ()).matrix
+                    if first:
+                        needed = cells.value.home(matrix, k)
+                    else:
+                        needed = cells.value.left_open(matrix, part.column("_floor").to_numpy(zero_copy_only=False), k)
+                    ends = np.concatenate([[0], np.cumsum(needed.sum(1))]).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.nonzero(needed)[1].astype(np.int64)))
+                    yield pa.RecordBatch.from_arrays([*part.columns, lists], [*part.schema.names, "_cells"])
+
+        lists = T.StructType([*asked.schema.fields, T.StructField("_cells", T.ArrayType(T.LongType()))])
+        return asked.mapInArrow(run, lists).withColumn("_cell", F.explode("_cells")).drop("_cells")
+
+    def pair(left: pa.Table, right: pa.Table) -> pa.Table:
+        best = _Best(_side(left, id_col, vec_col, query_extra), k)
+        best.floor = left.column("_floor").to_numpy().astype(np.float64).copy()
+        held = _side(right, id_col, vec_col, corpus_extra)
+        step = max(1, SCORE_CELLS // max(1, left.num_rows))
+        for at in range(0, len(held.ids), step):
+            best.offer(_Side(held.ids[at:at + step], held.matrix[at:at + step], held.extra.slice(at, step)))
+        return best.table(arrow)
+
+    def answered(asked: DataFrame) -> DataFrame:
+        width = F.sum(8 * F.size(vec_col) + sum((F.coalesce(F.octet_length(F.col(x).cast("string")), F.lit(0)) for x in query_extra), F.lit(8)))
+        sizes = {r["_cell"]: r["bytes"] for r in asked.groupBy("_cell").agg(width.alias("bytes")).collect()}
+        layout = [(cell, parts[cell], math.ceil(size / (4 * block_bytes))) for cell, size in sizes.items()]
+        layout_of = F.broadcast(spark.createDataFrame(layout, "_cell long, _parts long, _slices long"))
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
+        own = lambda n: F.pmod(F.xxhash64(id_col), F.col(n))
+        left = asked.join(layout_of, "_cell").withColumn("_slice", own("_slices")).withColumn("_part", every("_parts")).drop("_parts", "_slices")
+        # Cells nobody asks stay where they are.
+        right = corpus.drop("_distance").join(layout_of, "_cell").withColumn("_part", own("_parts")).withColumn("_slice", every("_slices")).drop("_parts", "_slices")
+        keys = ["_cell", "_part", "_slice"]
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(pair, schema)
+
+    order = [F.desc("score"), F.asc("neighbor_id")]
+    home = materialize(routed(q.withColumn("_floor", F.lit(float("-inf"))), True), "search-home")
+    near = materialize(top_k(answered(home), k, "query_id", order).select(schema.names), "search-near")
+    floors = near.where(F.col("rank") == k).groupBy(F.col("query_id").alias(id_col)).agg(F.max("score").alias("_floor"))
+    floored = q.join(floors, id_col, "left").withColumn("_floor", F.coalesce("_floor", F.lit(float("-inf"))))
+    rest = materialize(routed(floored.select(*q.columns, "_floor"), False), "search-rest")
+    return near.unionByName(answered(rest))
+
+
 def top_k(df: DataFrame, k: int, key: str, order: Sequence[Column], rank_col: str = "rank") -> DataFrame:
     """First k rows per key; the literal bound lets each task drop the rest before the shuffle."""
     return df.withColumn(rank_col, F.row_number().over(Window.partitionBy(key).orderBy(*order))).where(
@@ -235,10 +302,23 @@ def top_k(df: DataFrame, k: int, key: str, order: Sequence[Column], rank_col: st
     )
 
 
-def attach_payload(neighbors: DataFrame, corpus: DataFrame, columns: Sequence[str], id_col: str = "ticket_id") -> DataFrame:
-    """Corpus columns of each neighbour, by key."""
+def hot_neighbors(neighbors: DataFrame, share: float = 0.001, least: int = 10_000) -> DataFrame:
+    """Ids that are the neighbour of a large share of all queries; no more than ``1 / share``."""
+    return hot_keys(neighbors.groupBy("neighbor_id").agg(F.count(F.lit(1)).alias("n")), "neighbor_id", "n", share, least)
+
+
+def attach_payload(
+    neighbors: DataFrame, corpus: DataFrame, columns: Sequence[str], id_col: str = "ticket_id", hot: DataFrame | None = None
+) -> DataFrame:
+    """Corpus columns of each neighbour, by key.
+
+    With ``hot`` from :func:`hot_neighbors` the lists of such ids are dealt over several tasks, and only
+    their corpus rows are copied.
+    """
     payload = corpus.select(F.col(id_col).alias("neighbor_id"), *[F.col(c).alias(f"neighbor_{c}") for c in columns])
-    return neighbors.join(payload, "neighbor_id")
+    if hot is None:
+        return neighbors.join(payload, "neighbor_id")
+    return salted_join(neighbors, payload, "neighbor_id", hot, F.col("query_id"), how="inner")
 
 
 def retrieved_list(neighbors: DataFrame) -> DataFrame:

@@ -59,9 +59,11 @@ def retrieve(tickets: DataFrame, corpus: DataFrame, k: int = DEFAULTS.top_k, id_
     found = retrieval.nearest(tickets, corpus, k, id_col, corpus_extra=())
     if tickets.select(id_col).limit(FEW_TICKETS + 1).count() <= FEW_TICKETS:
         # At most FEW_TICKETS x k narrow rows: they go to the corpus, which is then read in place.
-        # More of them meet the corpus in a shuffle.
-        found = F.broadcast(found)
-    found = retrieval.attach_payload(found, corpus, PAYLOAD, id_col)
+        found = retrieval.attach_payload(F.broadcast(found), corpus, PAYLOAD, id_col)
+    else:
+        # More of them meet the corpus in a shuffle, and a ticket that is many tickets' neighbour in several tasks.
+        found = materialize(found, "neighbours")
+        found = retrieval.attach_payload(found, corpus, PAYLOAD, id_col, retrieval.hot_neighbors(found))
     listed = retrieval.retrieved_list(found).withColumnRenamed("query_id", id_col)
     empty = F.array().cast(listed.schema["retrieved"].dataType)
     return tickets.join(listed, id_col, "left").withColumn("retrieved", F.coalesce("retrieved", empty))
