@@ -53,6 +53,26 @@ def stream_append(spark, sf):
     return spark.read.parquet(f"{home}/corpus").select("ticket_id", "queue", "split")
 
 
+@query(
+    "stream_resent",
+    f"WITH {Q.CASES}, {Q.split('v_cases')} SELECT ticket_id, queue, body FROM parts WHERE split IN ('train', 'val')",
+)
+def stream_resent(spark, sf):
+    """As ``stream_append``, but every ticket is sent three times, and the job stops and starts between."""
+    from ticketloom.operators.split import stratified_split
+
+    parts = materialize(stratified_split(views.cases(spark, sf)).select("ticket_id", "queue", "body", "split"), "resent-parts")
+    home = scratch_path(spark, "stream-resent")
+    jobs.corpus_base(parts.where("split = 'train'").drop("split"), f"{home}/corpus")
+    came = parts.where("split = 'val'").drop("split").withColumn("sent", F.timestamp_seconds(F.lit(1_700_000_000) + F.col("ticket_id") % 3600))
+    later = lambda hours: came.withColumn("sent", F.col("sent") + F.make_interval(hours=F.lit(hours)))
+    for batch in (came, later(1).unionByName(later(2))):
+        batch.write.mode("append").parquet(f"{home}/in")
+        fresh = jobs.first_sent(jobs.ticket_stream(spark, f"{home}/in", came.schema), "sent", resend_within="1 day")
+        _drain(jobs.append_stream(fresh.drop("sent"), f"{home}/corpus", f"{home}/state"))
+    return spark.read.parquet(f"{home}/corpus").select("ticket_id", "queue", "body")
+
+
 @query(
     "stream_review_rate",
     """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d') AS window_day, count(*) AS tickets, count(*) FILTER (value < 20) AS reviews, round(count(*) FILTER (value < 20) / count(*), 4) AS review_rate

@@ -20,6 +20,20 @@ def ticket_stream(spark: SparkSession, path: str, schema: StructType, files_per_
     return reader.parquet(path)
 
 
+def first_sent(tickets: DataFrame, time_col: str, id_col: str = "ticket_id", resend_within: str = "7 days") -> DataFrame:
+    """A stream in which a ticket that is sent again appears once, across batches and restarts.
+
+    The state holds one id for each ticket until the watermark, the latest event time seen less
+    ``resend_within``, passes it; a ticket sent again after that counts as new, and one whose event time is older than the
+    watermark is dropped as too late.  Event times must be there.  Sent again with another text, a ticket
+    keeps the one that came first; inside one batch either may be kept.  A ticket without an id is known by
+    all its other values.
+    """
+    content = F.sha2(F.to_json(F.struct(*[F.col(c) for c in tickets.columns if c != time_col]), {"ignoreNullFields": "false"}), 256)
+    key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("-"), content))
+    return tickets.withWatermark(time_col, resend_within).withColumn("_sent", key).dropDuplicatesWithinWatermark(["_sent"]).drop("_sent")
+
+
 def triage_stream(
     tickets: DataFrame,
     corpus: Callable[[SparkSession], DataFrame],
