@@ -140,9 +140,25 @@ def rerank_jaccard(spark, sf):
     return kept.select("query_id", "neighbor_id", "rank", "rerank_position", F.round("rerank_score", 6).alias("rerank_score"))
 
 
-@query("triage_reranked")
+_TOKENS = "list_distinct(list_filter(regexp_split_to_array({}, '\\s+'), lambda x: x <> ''))"
+
+
+@query(
+    "triage_reranked",
+    f"""WITH {Q.CASE_NEIGHBORS},
+ct AS (SELECT ticket_id, queue, answer, {_TOKENS.format(Q.clean('body'))} AS asked, {_TOKENS.format('body')} AS held FROM v_cases),
+s AS (SELECT n.query_id, n.score, n.rank, b.queue, b.answer, CASE WHEN len(a.asked) + len(b.held) > 0 THEN len(list_intersect(a.asked, b.held)) / len(list_distinct(list_concat(a.asked, b.held))) ELSE 0 END AS js
+  FROM nn n JOIN ct a ON a.ticket_id = n.query_id JOIN ct b ON b.ticket_id = n.neighbor_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY js DESC, rank) AS pos FROM s),
+g AS (SELECT p.ticket_id, p.subject, p.body, p.answer, p.queue, greatest(0.0, least(coalesce(f.score, 0.0), 1.0)) AS best, coalesce(f.queue, 'Unknown') AS nearest_queue, t.queue AS top_queue, t.answer AS top_answer
+  FROM parts p LEFT JOIN r f ON f.query_id = p.ticket_id AND f.rank = 1 LEFT JOIN r t ON t.query_id = p.ticket_id AND t.pos = 1 WHERE p.split = 'test')
+SELECT ticket_id, subject, body, answer, queue, {Q.clean('body')} AS clean_body, CASE WHEN best < {Q.CASE_THRESHOLD} THEN nearest_queue ELSE top_queue END AS predicted_queue,
+  CASE WHEN best >= {Q.CASE_THRESHOLD} THEN top_answer END AS generated_answer, best < {Q.CASE_THRESHOLD} AS needs_human_review, round(best, 6) AS confidence_score,
+  CASE WHEN best < {Q.CASE_THRESHOLD} THEN 'abstained' ELSE 'ok' END AS parse_status, CASE WHEN best >= {Q.CASE_THRESHOLD} THEN true END AS queue_is_valid FROM g""",
+)
 def triage_reranked(spark, sf):
-    return records(spark, sf, rerank=True).drop("retrieved")
+    """The gate looks at the first pass; the answer comes from the ticket that the second score puts first."""
+    return records(spark, sf, rerank=True).drop("retrieved").withColumn("confidence_score", F.round("confidence_score", 6))
 
 
 @query(
