@@ -96,3 +96,23 @@ def test_stemming_matches_inflections(spark):
     df = spark.createDataFrame([(1, "printers failing", "printer failed")], "ticket_id long, answer string, generated_answer string")
     assert O.rouge_l(df, stemmed=True).first()["rouge_l"] == 1.0
     assert O.rouge_l(df, stemmed=False).first()["rouge_l"] == 0.0
+
+
+def test_stemmer_in_sql_agrees():
+    import random
+
+    import duckdb
+
+    from ticketloom.functions import porter
+    from ticketloom.plans.stem_sql import stems
+
+    rng = random.Random(3)
+    ends = [s for s, _ in porter.STEP_2 + porter.STEP_3] + porter.STEP_4 + ["", "s", "ies", "sses", "ied", "eed", "ed", "ing", "y", "e", "ll", "logi", "alli", "ationalli"]
+    words = set(porter.IRREGULAR) | {"yyyy", "hopping", "filing", "falling", "sky", "agreed", "a1b2", "2024"}
+    for _ in range(6000):
+        words.add("".join(rng.choice("aeioubcdlstzwxy0") for _ in range(rng.randrange(0, 6))) + rng.choice(ends) + rng.choice(["", "", rng.choice(ends)]))
+    words = sorted(w for w in words if w and "yyyyyyy" not in w)
+    db = duckdb.connect()
+    db.execute("CREATE TABLE words AS SELECT unnest(?) AS w", [words])
+    got = dict(db.execute(f"WITH {stems('words')} SELECT w, x FROM stems").fetchall())
+    assert got == {w: porter.stem(w) if len(w) > 3 else w for w in words}

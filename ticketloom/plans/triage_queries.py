@@ -13,6 +13,7 @@ from ticketloom.operators import split as S
 from ticketloom.operators import triage as T
 from ticketloom.plans import fragments as Q
 from ticketloom.plans.registry import query
+from ticketloom.plans.stem_sql import stems
 from ticketloom.scale import materialize
 from ticketloom.settings import JobSettings
 from ticketloom.sources import views
@@ -190,10 +191,17 @@ bl AS (SELECT ticket_id, round(CASE WHEN max(hn) = 0 OR max(num) FILTER (n = 1)
   ELSE exp(CASE WHEN max(hn) > max(rn) THEN 0 ELSE 1 - max(rn) / max(hn) END + sum(ln(CASE WHEN num > 0 THEN num ELSE 0.1 END / den)) / 4) END, 4) AS bleu FROM pa GROUP BY ticket_id)"""
 
 
-def _rouge_sql(source: str, hyp: str, ref: str) -> str:
+def _rouge_sql(source: str, hyp: str, ref: str, stemmed: bool = False) -> str:
     """CTEs ending in rl: ticket_id, lcs, rouge_l; one table row of the LCS per recursion step."""
     toks = lambda c: f"regexp_extract_all(lower({c}), '[a-z0-9]+')"
-    return f"""rt AS (SELECT ticket_id, {toks(hyp)} AS h, {toks(ref)} AS r FROM {source} WHERE {hyp} IS NOT NULL AND {ref} IS NOT NULL),
+    found = f"SELECT ticket_id, {toks(hyp)} AS h, {toks(ref)} AS r FROM {source} WHERE {hyp} IS NOT NULL AND {ref} IS NOT NULL"
+    texts = f"rt AS ({found})"
+    if stemmed:
+        side = lambda c: f"(SELECT ticket_id, list(x ORDER BY nth) AS {c} FROM (SELECT ticket_id, unnest({c}) AS w, generate_subscripts({c}, 1) AS nth FROM rw) JOIN stems USING (w) GROUP BY 1)"
+        texts = f"""rw AS ({found}), words AS (SELECT DISTINCT unnest(list_concat(h, r)) AS w FROM rw),
+{stems('words')},
+rt AS (SELECT ticket_id, coalesce(a.h, []) AS h, coalesce(b.r, []) AS r FROM rw LEFT JOIN {side('h')} a USING (ticket_id) LEFT JOIN {side('r')} b USING (ticket_id))"""
+    return f"""{texts},
 lc AS (SELECT ticket_id, h, r, 0 AS i, list_transform(range(0, len(r) + 1), lambda x: CAST(0 AS BIGINT)) AS p FROM rt
   UNION ALL SELECT ticket_id, h, r, i + 1, list_transform(range(1, len(r) + 2), lambda j: list_max(c[1:j])) FROM (
     SELECT ticket_id, h, r, i, list_transform(range(1, len(r) + 2), lambda j: CASE WHEN j > 1 AND r[j - 1] = h[i + 1] THEN greatest(p[j], p[j - 1] + 1) ELSE p[j] END) AS c FROM lc WHERE i < len(h)) t),
@@ -210,7 +218,7 @@ def rouge_l_pairs(spark, sf):
     return O.rouge_l(views.answered(spark, sf), "answer", "body", stemmed=False)
 
 
-@query("rouge_l_stemmed")
+@query("rouge_l_stemmed", f"WITH RECURSIVE {Q.ANSWERED}, {_rouge_sql('v_pairs', 'body', 'answer', stemmed=True)} SELECT ticket_id, lcs, rouge_l FROM rl")
 def rouge_l_stemmed(spark, sf):
     return O.rouge_l(views.answered(spark, sf), "answer", "body", stemmed=True)
 
