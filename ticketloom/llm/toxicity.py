@@ -41,7 +41,6 @@ LOOK_ALIKES = {
 SWAP, DROP_SIGN, DROP_DIGIT, DROP_REPEAT = 1.0, 1.0, 6.0, 1.0
 LETTERS = 28  # border, a to z, any other letter
 PART = 64
-LEXICON = 20_000
 PREFIXES = range(3, 9)
 MIN_DOCS, MIN_Z, LARGEST_WEIGHT = 3, 4.0, 8.0
 # Signs that may begin and end a word, as they look like letters.
@@ -294,15 +293,19 @@ def _evidence_job(counts: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], It
     return run
 
 
-def lexicon(taught: DataFrame, counts: np.ndarray, clean: int, toxic: int, limit: int = LEXICON) -> dict[str, float]:
-    """Weights of the parts that toxic documents hold significantly more, the ``limit`` strongest."""
+def lexicon(taught: DataFrame, counts: np.ndarray, clean: int, toxic: int) -> dict[str, float]:
+    """Weights of all parts that toxic documents hold significantly more.
+
+    The documents that teach are bounded, and a part needs ``MIN_DOCS`` of the toxic ones, so the
+    lexicon does not grow with the table.
+    """
     seen = taught.select("text", "label").mapInArrow(_evidence_job(counts), "part string, clean_docs long, toxic_docs long, clean_share double, toxic_share double")
     sums = seen.groupBy("part").agg(*(F.sum(c).alias(c) for c in ("clean_docs", "toxic_docs", "clean_share", "toxic_share"))).where((F.col("toxic_docs") >= MIN_DOCS) & (F.col("part") != ""))
     rate = (F.col("clean_docs") + F.col("toxic_docs") + 1) / (clean + toxic + 2)
     z = (F.col("toxic_docs") / toxic - F.col("clean_docs") / clean) / F.sqrt(rate * (1 - rate) * (1 / clean + 1 / toxic))
     weight = F.log((F.col("toxic_share") / toxic + 1e-6) / (F.col("clean_share") / clean + 1e-6))
-    strong = sums.select("part", z.alias("z"), weight.alias("weight")).where((F.col("z") >= MIN_Z) & (F.col("weight") > 1.0))
-    rows = strong.orderBy(F.desc("z"), "part").limit(limit).toArrow()
+    strong = sums.select("part", z.alias("z"), weight.alias("weight")).where((F.col("z") >= MIN_Z) & (F.col("weight") > 1.0)).orderBy("part").select("part", "weight")
+    rows = strong.toArrow()
     return dict(zip(rows.column("part").to_pylist(), np.minimum(rows.column("weight").to_numpy(), LARGEST_WEIGHT).tolist(), strict=True))
 
 
