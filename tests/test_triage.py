@@ -175,3 +175,42 @@ def test_model_is_asked_once_per_ticket(spark):
     truth = out.withColumn("queue", F.lit("IT Support")).withColumn("answer", F.lit("done"))
     T.evaluation_summary(truth).collect()
     assert calls.value == 2
+
+
+def test_triage_against_a_trained_family(spark):
+    rows = [(1, "A", "A"), (2, "A", "B"), (3, "B", None), (4, "B", "B"), (5, None, "A"), (6, "A", "A")]
+    records = spark.createDataFrame(rows, "ticket_id long, queue string, predicted_queue string")
+    trained = spark.createDataFrame([(1, "A"), (2, "A"), (3, "B"), (4, None), (5, "A"), (9, "B")], "ticket_id long, pred string")
+    got = {r["metric"]: r for r in T.against_baseline(records, trained, "pred").collect()}
+    # Tickets 1 to 4 have a label, a record and a prediction: three of four right against two of four.
+    assert (got["accuracy"]["base"], got["accuracy"]["other"], got["accuracy"]["delta"], got["accuracy"]["delta_pct"]) == (0.75, 0.5, -0.25, -33.3)
+    # Trained: A is right twice, B once of two, never wrongly named; F1 (1 + 2/3) / 2.  Triage: A 2/3, B 1/2.
+    assert (got["f1"]["base"], got["f1"]["other"]) == (0.8333, 0.5833)
+    assert {r["tickets"] for r in got.values()} == {4} and len(got) == 4
+    assert T.against_baseline(records.where("false"), trained, "pred").count() == 0
+
+
+def test_facts_seen_while_vectors_are_written(spark):
+    def facts(*vectors):
+        df = spark.createDataFrame([(i, None if v is None else [float(x) for x in v]) for i, v in enumerate(vectors)], "ticket_id long, embedding array<float>")
+        stored, seen = E.store_vectors(df, "facts")
+        assert stored.count() == len(vectors)
+        return seen
+
+    good = facts((1, 0), (0, -1), (0, 0))
+    assert (good.rows, good.missing, good.empty, good.widths) == (3, 0, 1, (2, 2))
+    good.require_unit()
+    good.require_complete()
+    for bad in (((1, 0), (2, 0)), ((1, 0), (0, 1, 0)), ((1, 0), (float("nan"), 0)), ((0.5, 0.5),)):
+        with pytest.raises(ValueError):
+            facts(*bad).require_unit()
+    with pytest.raises(ValueError):
+        facts((1, 0), None).require_complete()
+    facts().require_unit()
+
+
+def test_an_encoder_that_leaves_a_ticket_out_does_not_lose_it(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "ticket_id long, body string")
+    half = lambda d, t, i: d.where("ticket_id = 1").select(i, F.array(F.lit(1.0)).cast("array<float>").alias("embedding"))
+    rows = {r["ticket_id"]: r["embedding"] for r in T.encode_tickets(df, half).collect()}
+    assert rows == {1: [1.0], 2: None}

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -197,10 +197,10 @@ def embed(df: DataFrame, text_col: str = "clean_body", encoder: Encoder | None =
     """``df`` with an ``embedding`` column.
 
     ``encoder(df, text_col, id_col)`` returns (id, embedding); :func:`model_encoder` makes one from
-    a function over a batch of texts.
+    a function over a batch of texts.  A row that the encoder leaves out keeps its place, without a vector.
     """
     encode = encoder or (lambda d, t, i: hashed_vectors(d, t, dim, i))
-    return df.join(encode(df, text_col, id_col), id_col)
+    return df.join(encode(df, text_col, id_col), id_col, "left")
 
 
 def model_encoder(load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Encoder:
@@ -225,5 +225,45 @@ def model_encoder(load: Callable[[], Callable[[list[str]], np.ndarray]]) -> Enco
     return encode
 
 
+@dataclass(frozen=True)
+class VectorFacts:
+    """What a vector table was seen to hold while it was written."""
+
+    rows: int
+    missing: int
+    widths: tuple[int | None, int | None]
+    norms: tuple[float | None, float | None]
+    empty: int
+
+    def require_unit(self, tolerance: float = 1e-3) -> None:
+        """Inner products are cosines only between unit vectors; the zero vector of an empty text may stay."""
+        low, high = self.norms
+        if low is not None and (low < 1 - tolerance or high > 1 + tolerance or low != low or high != high):
+            raise ValueError(f"vectors are not of unit length: norms {low:.4f} to {high:.4f}")
+        if self.widths[0] != self.widths[1]:
+            raise ValueError(f"vectors differ in length: {self.widths[0]} to {self.widths[1]}")
+
+    def require_complete(self) -> None:
+        """Every ticket has its vector."""
+        if self.missing:
+            raise ValueError(f"{self.missing} of {self.rows} tickets have no vector")
+
+
+def store_vectors(df: DataFrame, name: str, vec_col: str = "embedding") -> tuple[DataFrame, VectorFacts]:
+    """``df`` written to the shared folder and read back, with facts observed by that one write: no pass of their own."""
+    size = V.norm(F.col(vec_col))
+    filled = F.when(size != 0, size)
+    seen = Observation(f"{name}-facts")
+    width = F.size(vec_col)
+    observed = df.observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col(vec_col).isNull()).alias("missing"),
+        F.min(F.when(width >= 0, width)).alias("narrow"), F.max(F.when(width >= 0, width)).alias("wide"),
+        F.min(filled).alias("low"), F.max(filled).alias("high"), F.count_if(size == 0).alias("empty"),
+    )
+    stored = materialize(observed, name)
+    got = seen.get
+    return stored, VectorFacts(got["rows"], got["missing"], (got["narrow"], got["wide"]), (got["low"], got["high"]), got["empty"])
+
+
 def unit_length(df: DataFrame, vec_col: str = "embedding") -> DataFrame:
     return df.withColumn(vec_col, V.l2_normalize(F.col(vec_col)))

@@ -208,3 +208,23 @@ def evaluation_summary(
         .unionByName(long(queue_scores, ["queue_accuracy", "queue_weighted_f1"]))
         .unionByName(long(answer_scores.withColumnRenamed("scored", "scored_answers"), ["scored_answers", "mean_bleu", "mean_rouge_l"]))
     )
+
+
+def against_baseline(
+    records: DataFrame, predictions: DataFrame, baseline_col: str, truth: str = "queue", id_col: str = "ticket_id", digits: int = 4
+) -> DataFrame:
+    """metric, base, other, delta, delta_pct, tickets: a trained family's queues (``base``) against the triage's (``other``).
+
+    Both are scored on the same tickets, those that have a record and a prediction; an abstained
+    ticket counts with its nearest queue.  A missing prediction is a wrong one; without such tickets there are no rows.
+    """
+    both = records.select(id_col, truth, F.coalesce("predicted_queue", F.lit("Unknown")).alias("other")).join(
+        predictions.select(id_col, F.coalesce(baseline_col, F.lit("Unknown")).alias("base")), id_col
+    ).where(F.col(truth).isNotNull())
+    long = both.unpivot([truth], ["base", "other"], "side", "predicted_queue")
+    sizes = long.groupBy("side").agg(F.count(F.lit(1)).alias("tickets"))
+    # Two rows, then eight: the sides' scores.
+    scores = metrics.weighted_scores(long, truth, "predicted_queue", digits, by=["side"]).join(sizes, "side")
+    rows = scores.unpivot(["side", "tickets"], ["accuracy", "precision", "recall", "f1"], "metric", "value")
+    other = rows.where("side = 'other'")
+    return metrics.metric_delta(rows.where("side = 'base'"), other, digits).join(other.select("metric", "tickets"), "metric")

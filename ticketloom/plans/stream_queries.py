@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from ticketloom.operators import metrics as M
 from ticketloom.plans import fragments as Q
 from ticketloom.plans.registry import query
-from ticketloom.plans.triage_queries import _RECORDS, CASE_SETTINGS, split_cases
+from ticketloom.plans.triage_queries import RECORDS_SQL, CASE_SETTINGS, split_cases
 from ticketloom.scale import materialize, scratch_path
 from ticketloom.sources import tables as IO
 from ticketloom.sources import views
@@ -21,7 +21,7 @@ def _drain(stream_query) -> None:
 
 @query(
     "stream_triage",
-    f"""WITH {_RECORDS} SELECT ticket_id, predicted_queue, generated_answer, needs_human_review, round(confidence_score, 6) AS confidence_score FROM rec""",
+    f"""WITH {RECORDS_SQL} SELECT ticket_id, predicted_queue, generated_answer, needs_human_review, round(confidence_score, 6) AS confidence_score FROM rec""",
 )
 def stream_triage(spark, sf):
     asked, corpus = split_cases(spark, sf)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketloom.functions import replies as J
+from ticketloom.operators import features as E
 from ticketloom.operators import metrics as M
 from ticketloom.operators import overlap as O
 from ticketloom.operators import retrieval as R
@@ -14,7 +15,6 @@ from ticketloom.operators import triage as T
 from ticketloom.plans import fragments as Q
 from ticketloom.plans.registry import query
 from ticketloom.plans.stem_sql import stems
-from ticketloom.scale import materialize
 from ticketloom.settings import JobSettings
 from ticketloom.sources import views
 
@@ -23,7 +23,9 @@ CASE_SETTINGS = JobSettings(confidence_threshold=Q.CASE_THRESHOLD)
 
 def split_cases(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     """Encoded test and train cases, from one written table: search, payload and prompt all read it."""
-    parts = materialize(T.encode_tickets(S.stratified_split(views.cases(spark, sf))), "cases")
+    parts, facts = E.store_vectors(T.encode_tickets(S.stratified_split(views.cases(spark, sf))), "cases")
+    facts.require_unit()
+    facts.require_complete()
     return parts.where(F.col("split") == "test").drop("split"), parts.where(F.col("split") == "train")
 
 
@@ -32,7 +34,7 @@ def records(spark: SparkSession, sf: str, rerank: bool = False) -> DataFrame:
     return T.triage(asked, corpus, M.label_list(views.cases(spark, sf)), CASE_SETTINGS, rerank=rerank)
 
 
-_RECORDS = f"""{Q.CASE_NEIGHBORS},
+RECORDS_SQL = f"""{Q.CASE_NEIGHBORS},
 best AS (SELECT p.ticket_id, p.subject, p.body, p.queue, p.answer, greatest(0.0, least(coalesce(n.score, 0.0), 1.0)) AS confidence_score, coalesce(c.queue, 'Unknown') AS nearest_queue, c.answer AS nearest_answer
   FROM parts p LEFT JOIN nn n ON n.query_id = p.ticket_id AND n.rank = 1 LEFT JOIN v_cases c ON c.ticket_id = n.neighbor_id WHERE p.split = 'test'),
 rec AS (SELECT *, confidence_score < {Q.CASE_THRESHOLD} AS needs_human_review, nearest_queue AS predicted_queue,
@@ -41,7 +43,7 @@ rec AS (SELECT *, confidence_score < {Q.CASE_THRESHOLD} AS needs_human_review, n
 
 @query(
     "triage_records",
-    f"""WITH {_RECORDS} SELECT ticket_id, predicted_queue, generated_answer, needs_human_review, round(confidence_score, 6) AS confidence_score,
+    f"""WITH {RECORDS_SQL} SELECT ticket_id, predicted_queue, generated_answer, needs_human_review, round(confidence_score, 6) AS confidence_score,
   CASE WHEN needs_human_review THEN 'abstained' ELSE 'ok' END AS parse_status FROM rec""",
 )
 def triage_records(spark, sf):
@@ -53,7 +55,7 @@ def triage_records(spark, sf):
 
 @query(
     "triage_responses",
-    f"WITH {_RECORDS} SELECT ticket_id, predicted_queue, generated_answer, needs_human_review, round(confidence_score, 6) AS confidence_score FROM rec",
+    f"WITH {RECORDS_SQL} SELECT ticket_id, predicted_queue, generated_answer, needs_human_review, round(confidence_score, 6) AS confidence_score FROM rec",
 )
 def triage_responses(spark, sf):
     return T.public_response(records(spark, sf)).withColumn("confidence_score", F.round("confidence_score", 6))
@@ -93,7 +95,7 @@ def _sql_text(text: str) -> str:
 
 
 _before, _after = J.PROMPT_OPENING.split("{count}")
-_PROMPTS = f"""{_RECORDS},
+_PROMPTS = f"""{RECORDS_SQL},
 ql AS (SELECT string_agg({_sql_text(J.QUEUE_BULLET)} || queue, chr(10) ORDER BY queue) AS queues FROM (SELECT DISTINCT queue FROM v_cases) d),
 ctx AS (SELECT n.query_id, count(*) AS n, string_agg('[Ticket ' || n.rank || ']' || chr(10) || 'Queue: ' || c.queue || chr(10) || 'Body: ' || c.body || chr(10) || 'Answer: ' || c.answer, {_sql_text(J.BLOCK_SEPARATOR)} ORDER BY n.rank) AS blocks
   FROM nn n JOIN v_cases c ON c.ticket_id = n.neighbor_id GROUP BY 1)"""
@@ -114,7 +116,7 @@ def prompt_text(spark, sf):
 
 @query(
     "draft_answers",
-    f"WITH {_RECORDS} SELECT ticket_id, nearest_queue AS reply_queue, nearest_answer AS reply_answer FROM rec WHERE NOT needs_human_review",
+    f"WITH {RECORDS_SQL} SELECT ticket_id, nearest_queue AS reply_queue, nearest_answer AS reply_answer FROM rec WHERE NOT needs_human_review",
 )
 def draft_answers(spark, sf):
     asked, corpus = split_cases(spark, sf)
@@ -232,7 +234,7 @@ def mean_text_overlap(spark, sf):
     return O.mean_overlap(O.text_overlap(views.answered(spark, sf), "answer", "body", stemmed=False))
 
 
-_SUMMARY = f"""{_RECORDS}, {Q.class_counts('rec')}, ans AS (SELECT ticket_id, answer, generated_answer FROM rec WHERE NOT needs_human_review),
+_SUMMARY = f"""{RECORDS_SQL}, {Q.class_counts('rec')}, ans AS (SELECT ticket_id, answer, generated_answer FROM rec WHERE NOT needs_human_review),
 {_bleu_sql('ans', 'generated_answer', 'answer')}, {_rouge_sql('ans', 'generated_answer', 'answer')},
 c AS (SELECT count(*) AS tickets, count(*) FILTER (needs_human_review) AS abstained FROM rec)"""
 
