@@ -18,15 +18,20 @@ from pyspark.sql import types as T
 
 from ticketloom.functions import text as X
 from ticketloom.functions import vectors as V
-from ticketloom.scale import bounded_broadcast, materialize, scratch_path
+from ticketloom.scale import bounded_broadcast, dealt, materialize, scratch_path
 from ticketloom.settings import DEFAULTS
 
 BROADCAST_TERMS = 200_000  # a larger vocabulary is joined, not broadcast
+CHARS_PER_WORD = 4  # a low guess: it only sizes tasks
 
 
 def term_counts(docs: DataFrame, text_col: str, id_col: str = "ticket_id", bigrams: bool = True) -> DataFrame:
     """id, term, tf: words of two or more characters and, optionally, pairs of neighbouring words."""
-    tokens = docs.select(id_col, X.word_tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("_tokens")).repartition(id_col)
+    chars = docs.agg(F.sum(F.length(text_col))).first()[0] or 0
+    tokens = dealt(
+        docs.select(id_col, X.word_tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("_tokens")),
+        id_col, chars / CHARS_PER_WORD * (2 if bigrams else 1),
+    )
     terms = X.with_bigrams(F.col("_tokens")) if bigrams else F.col("_tokens")
     return (
         tokens.select(id_col, F.explode(terms).alias("term"))
@@ -99,6 +104,8 @@ class Tfidf:
             counted.join(known, "term")
             .select(self.id_col, "term", "idx", (sublinear(F.col("tf")) * F.col("idf")).alias("_w"))
         )
+        if counts is not None:
+            raw = dealt(raw, self.id_col, counts.count())
         length = F.sqrt(F.sum(F.col("_w") * F.col("_w")).over(Window.partitionBy(self.id_col)))
         return raw.select(self.id_col, "term", "idx", (F.col("_w") / length).alias("weight"))
 
@@ -163,9 +170,10 @@ def hashed_vectors(docs: DataFrame, text_col: str, dim: int = DEFAULTS.embedding
     blanks = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.struct(F.lit(None).cast("string").alias("term"), i.cast("long").alias("at")))
     words = F.transform("_tokens", lambda t: F.struct(t.alias("term"), F.lit(None).cast("long").alias("at")))
     digest = F.md5("term")
+    sizes = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length(text_col)).alias("chars")).first()
+    cells = sizes["n"] * dim + (sizes["chars"] or 0) / CHARS_PER_WORD
     return (
-        docs.select(id_col, X.word_tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("_tokens"))
-        .repartition(id_col)
+        dealt(docs.select(id_col, X.word_tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("_tokens")), id_col, cells)
         .select(id_col, F.inline(F.concat(words, blanks)))
         .groupBy(id_col, "term", "at")
         .agg(F.count(F.lit(1)).alias("tf"))
