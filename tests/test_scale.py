@@ -1,6 +1,10 @@
+import re
+
 import pytest
+from pyspark.sql import functions as F
 
 from ticketloom import scale
+from ticketloom.operators import features, overlap
 
 
 class _Context:
@@ -42,3 +46,21 @@ def test_filters_reach_the_scan(spark, sf):
     plan = catalog.queries()["clean_corpus"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(lang,en)" in plan
     assert plan.count("Generate inline") == 1
+
+
+def test_tasks_grow_with_the_words(spark, monkeypatch):
+    """The session's partition count is fixed; what a task groups must not grow with the table."""
+    monkeypatch.setattr(scale, "ROWS_PER_TASK", 50, raising=False)
+    docs = spark.range(60).select(F.col("id").alias("ticket_id"), F.lit("alpha beta gamma delta " * 20).alias("text"), F.lit("beta gamma " * 20).alias("other"))
+    counts = features.term_counts(docs, "text")
+    vocabulary = features.fit_tfidf(docs, "text")
+    stored = features.stored_counts(docs, "text")
+    plans = {
+        "terms": counts, "weights": vocabulary.weights(docs, stored), "hashed": features.hashed_vectors(docs, "text", 8), "bleu": overlap.bleu(docs, "text", "other"),
+    }
+    for name, df in plans.items():
+        dealt = re.findall(r"RepartitionByExpression \[[^\]]*\], (\d+)", df._jdf.queryExecution().optimizedPlan().toString())
+        assert dealt and max(map(int, dealt)) > 8, name
+    assert counts.count() == 60 * 8 and {r["tf"] for r in counts.where("term = 'delta alpha'").collect()} == {19}
+    assert plans["weights"].agg(F.sum(F.col("weight") * F.col("weight"))).first()[0] == pytest.approx(60)
+    assert plans["hashed"].count() == plans["bleu"].count() == 60

@@ -9,9 +9,11 @@ from pyspark.sql import types as T
 
 from ticketloom.functions import text as X
 from ticketloom.functions.porter import stem
+from ticketloom.scale import dealt
 
 MAX_GRAM = 4
 SMOOTHING = 0.1
+CHARS_PER_WORD = 4  # a low guess: it only sizes tasks
 
 
 def _grams(tokens: Column, hyp: int, ref: int) -> Column:
@@ -38,11 +40,13 @@ def bleu(df: DataFrame, reference: str = "answer", hypothesis: str = "generated_
 
     Pairs are hash-partitioned by id; all counting after that is local.
     """
+    chars = df.agg(F.sum(F.length(hypothesis) + F.length(reference))).first()[0] or 0
     tokens = df.where(F.col(reference).isNotNull() & F.col(hypothesis).isNotNull()).select(
         id_col,
         X.whitespace_tokens(F.lower(hypothesis)).alias("_h"),
         X.whitespace_tokens(F.lower(reference)).alias("_r"),
-    ).repartition(id_col)
+    )
+    tokens = dealt(tokens, id_col, MAX_GRAM * chars / CHARS_PER_WORD)
     sized = tokens.select(id_col, "_h", "_r", F.size("_h").alias("_hn"), F.size("_r").alias("_rn"))
     counted = (
         sized.select(id_col, "_hn", "_rn", F.inline(F.concat(_grams(F.col("_h"), 1, 0), _grams(F.col("_r"), 0, 1))))
