@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -195,3 +196,16 @@ def test_a_neighbour_of_all_is_dealt_over_tasks(spark):
         for c, v in before.items():
             spark.conf.set(c, v)
     assert len(tasks) > 2 and max(t["count"] for t in tasks) < 2000
+
+
+def test_a_groups_queries_become_a_matrix_in_slices():
+    """Queries may take four blocks; as doubles they never take more than a part of one."""
+    table = lambda ids, m: pa.table({"ticket_id": ids, "embedding": pa.array(list(m), pa.list_(pa.float32())), "_floor": np.full(len(ids), -np.inf)})
+    rng = np.random.default_rng(5)
+    asked, held = (rng.standard_normal((n, 8)).astype(np.float32) for n in (100, 30))
+    arrow = pa.schema([("query_id", pa.int64()), ("rank", pa.int32()), ("neighbor_id", pa.int64()), ("score", pa.float64())])
+    side = R._side(table(range(30), held), "ticket_id", "embedding", ())
+    found = list(R._sliced(table(range(100), asked), side, 3, "ticket_id", "embedding", (), 5120, arrow))
+    assert [t.num_rows for t in found] == [30] * 10
+    got = pa.concat_tables(found).sort_by([("query_id", "ascending"), ("rank", "ascending")]).column("neighbor_id").to_numpy().reshape(100, 3)
+    assert (got == np.argsort(-(asked.astype(float) @ held.astype(float).T), axis=1)[:, :3]).all()

@@ -29,6 +29,8 @@ BROADCAST_BYTES = 64 << 20
 # Bytes of float64 that one task holds of the corpus when neither side is small enough; it holds four
 # times as much of the queries, as a cell is sent once for each such part of the queries that need it.
 BLOCK_BYTES = 64 << 20
+# A group's queries become a matrix in slices of this part of a block.
+QUERY_SLICES = 8
 # Cells of one score matrix: 32 MiB of float64.
 SCORE_CELLS = 4 << 20
 
@@ -123,6 +125,21 @@ class _Best:
         )
 
 
+def _sliced(
+    asked: pa.Table, held: _Side, k: int, id_col: str, vec_col: str, extra: Sequence[str], block_bytes: int, arrow: pa.Schema
+) -> Iterator[pa.Table]:
+    """Candidates of a group's queries.  They stay as they came, in single precision, but for a slice at a time."""
+    rows = max(1, block_bytes // QUERY_SLICES // (8 * max(1, held.matrix.shape[1])))
+    step = max(1, SCORE_CELLS // max(1, min(rows, asked.num_rows)))
+    for start in range(0, asked.num_rows, rows):
+        some = asked.slice(start, rows)
+        best = _Best(_side(some, id_col, vec_col, extra), k)
+        best.floor = some.column("_floor").to_numpy().astype(np.float64).copy()
+        for at in range(0, len(held.ids), step):
+            best.offer(_Side(held.ids[at:at + step], held.matrix[at:at + step], held.extra.slice(at, step)))
+        yield best.table(arrow)
+
+
 def _result_schema(
     queries: DataFrame, corpus: DataFrame, id_col: str, query_extra: Sequence[str], corpus_extra: Sequence[str]
 ) -> T.StructType:
@@ -265,13 +282,8 @@ def _by_cells(
         return asked.mapInArrow(run, lists).withColumn("_cell", F.explode("_cells")).drop("_cells")
 
     def pair(left: pa.Table, right: pa.Table) -> pa.Table:
-        best = _Best(_side(left, id_col, vec_col, query_extra), k)
-        best.floor = left.column("_floor").to_numpy().astype(np.float64).copy()
         held = _side(right, id_col, vec_col, corpus_extra)
-        step = max(1, SCORE_CELLS // max(1, left.num_rows))
-        for at in range(0, len(held.ids), step):
-            best.offer(_Side(held.ids[at:at + step], held.matrix[at:at + step], held.extra.slice(at, step)))
-        return best.table(arrow)
+        return pa.concat_tables([arrow.empty_table(), *_sliced(left, held, k, id_col, vec_col, query_extra, block_bytes, arrow)])
 
     def answered(asked: DataFrame) -> DataFrame:
         width = F.sum(8 * F.size(vec_col) + sum((F.coalesce(F.octet_length(F.col(x).cast("string")), F.lit(0)) for x in query_extra), F.lit(8)))
