@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from ticketloom.llm import positional_index, segment_search
@@ -136,3 +137,23 @@ def test_near_terms_stay_inside_a_document(spark):
     ids = index.select("block", F.posexplode("doc_ids").alias("nth", "doc_id"))
     found = positional_index.matches(index, benchmark, near=(2, 3)).join(ids, ["block", "nth"])
     assert [(r["doc_id"], [tuple(s) for s in r["spans"]], r["items"]) for r in found.collect()] == [(2, [(0, 3)], [7])]
+
+
+def test_blocks_are_written_and_asked_a_few_at_a_time(spark):
+    """However large a task's input, neither a row group nor a batch is as large as all its blocks."""
+    texts = spark.range(0, 120, 1, 1).select(F.col("id").alias("doc_id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(40_000)), lambda i: F.concat(F.lit("w"), (i * 7919 + F.col("id") * 104729).cast("string"))), " ").alias("text"))
+    index = positional_index.build_index(texts)
+    blocks = index.count()
+    assert blocks > 4 * positional_index.GROUP_ROWS
+    groups = [m.row_group(g).num_rows for f in index.inputFiles() for m in [pq.ParquetFile(f.removeprefix("file://")).metadata] for g in range(m.num_row_groups)]
+    assert sum(groups) == blocks and max(groups) <= positional_index.GROUP_ROWS
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    held = index.coalesce(1).mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in held) == blocks and max(r["size"] for r in held) < 16 << 20
+    near_end = spark.createDataFrame([(1, " ".join(f"w{i * 7919 + 119 * 104729}" for i in range(39_990, 40_001)))], "item_id long, text string")
+    hit = positional_index.contamination(texts, near_end).where("contaminated").collect()
+    assert [(r["doc_id"], r["n_hit"], r["n_items"]) for r in hit] == [(119, 11, 1)]

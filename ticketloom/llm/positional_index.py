@@ -26,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketloom.llm.arrays import binaries, distinct, gather, slices, tidy, utf8
-from ticketloom.llm.tables import materialize, texts, without_ids
+from ticketloom.llm.tables import materialize, short_batches, texts, without_ids
 
 BLOCK = "block long, doc_ids array<long>, n_words array<long>, terms array<binary>, counts binary, places binary"
 FOUND = "block long, nth int, spans array<struct<begin:long,end:long>>, items array<long>"
 WORD = np.ones(256, bool)
 WORD[:0x30] = WORD[0x3A:0x61] = WORD[0x7B:0x80] = False
-RUN = 1 << 21  # candidate places worked on at once
+BLOCK_BYTES = 1 << 20  # of text in one block, whose row is about as large
+GROUP_ROWS = 8  # blocks in a Parquet row group: a reader and a writer hold a whole one
+RUN = 1 << 19  # candidate places worked on at once
 ITEM_BYTES = 8 << 20  # of benchmark text asked in one pass
 
 
@@ -75,9 +77,15 @@ def _index_job(limit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
-def build_index(docs: DataFrame, block_bytes: int = 4 << 20) -> DataFrame:
-    """The index of every word of all documents, written to the shared folder; no shuffle."""
-    return materialize(texts(docs).mapInArrow(tidy(_index_job(block_bytes)), BLOCK), "positions")
+def build_index(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The index of every word of all documents, written to the shared folder; no shuffle.
+
+    Spark hands over whole row groups, and batches of so many rows that blocks would make them as
+    large as a task's input: both are kept to some blocks.
+    """
+    short_batches(docs.sparkSession)
+    blocks = texts(docs).mapInArrow(tidy(_index_job(block_bytes)), BLOCK)
+    return materialize(blocks, "positions", **{"parquet.block.row.count.limit": GROUP_ROWS})
 
 
 class Phrases:
